@@ -52,8 +52,9 @@ def nearest(
 ) -> DataFrame:
     """The k chunks closest to one vector, which may also come from a scalar subquery."""
     question = vector if isinstance(vector, Column) else F.array(*[F.lit(float(x)) for x in vector])
-    score = F.round(cosine(F.col(col), question), SCORE_DECIMALS)
-    return chunks.withColumn("score", score).orderBy(F.desc("score"), "chunk_id").limit(k)
+    score = F.round(cosine(col, "_question"), SCORE_DECIMALS)
+    scored = chunks.withColumn("_question", question).withColumn("score", score).drop("_question")
+    return scored.orderBy(F.desc("score"), "chunk_id").limit(k)
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
