@@ -33,45 +33,38 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 def hash_vector(text: Column | str, dim: int = 64) -> Column:
     """Hashed bag of words: token counts in ``dim`` buckets, scaled to length 1.
 
-    Stands in where no embedding model is at hand. The buckets are sorted and then
-    run-length counted, so a text costs one pass over its tokens, inside its own row.
+    Stands in where no embedding model is at hand. A text is worked on inside its own row: its
+    buckets are sorted together with one marker per bucket, so the distance from the start of one
+    run to the next is that bucket's count plus one, and no state is carried from token to token.
     """
-    tokens = F.filter(F.split(F.lower(as_column(text)), "\\s+"), lambda t: t != "")
-    buckets = F.sort_array(
-        F.transform(
-            tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int") % F.lit(dim)
-        )
+    words = F.trim(F.regexp_replace(F.lower(as_column(text)), "\\s+", " "))
+    tokens = F.when(words != "", F.split(words, " ")).otherwise(
+        F.when(words == "", F.expr("cast(array() as array<string>)"))
     )
-    start = F.struct(
-        F.lit(-1).alias("bucket"),
-        F.lit(0.0).alias("n"),
-        F.expr("cast(array() as array<struct<bucket:int,n:double>>)").alias("runs"),
+    buckets = F.transform(
+        tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int") % F.lit(dim)
     )
+    every = F.sequence(F.lit(0), F.lit(dim - 1))
 
-    def step(state: Column, bucket: Column) -> Column:
-        same = state["bucket"] == bucket
-        closed = F.struct(state["bucket"].alias("bucket"), state["n"].alias("n"))
-        return F.struct(
-            bucket.alias("bucket"),
-            F.when(same, state["n"] + 1.0).otherwise(1.0).alias("n"),
-            F.when(same, state["runs"])
-            .otherwise(F.concat(state["runs"], F.array(closed)))
-            .alias("runs"),
+    def run_starts(buckets: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(buckets) - 1)
+        starts = F.filter(
+            places, lambda i: (i == 0) | (F.get(buckets, i) != F.get(buckets, i - 1))
         )
+        return F.concat(starts, F.array(F.size(buckets)))
 
-    def finish(state: Column) -> Column:
-        last = F.struct(state["bucket"].alias("bucket"), state["n"].alias("n"))
-        return F.map_from_entries(F.concat(state["runs"], F.array(last)))
+    def counts(starts: Column) -> Column:
+        return F.transform(
+            every, lambda d: (F.get(starts, d + 1) - F.get(starts, d) - 1).cast("double")
+        )
 
-    def spread(counts: Column) -> Column:
-        used = F.filter(F.map_entries(counts), lambda e: e["key"] >= 0)
-        size = F.sqrt(F.aggregate(used, F.lit(0.0), lambda t, e: t + e["value"] * e["value"]))
-        every = F.sequence(F.lit(0), F.lit(dim - 1))
+    def scaled(counts: Column) -> Column:
+        size = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, n: total + n * n))
         return let(
             F.when(size == 0.0, F.lit(1.0)).otherwise(size),
-            lambda s: F.transform(
-                every, lambda d: (F.coalesce(counts[d], F.lit(0.0)) / s).cast("float")
-            ),
+            lambda s: F.transform(counts, lambda n: (n / s).cast("float")),
         )
 
-    return let(F.aggregate(buckets, start, step, finish), spread)
+    marked = F.sort_array(F.concat(buckets, every))
+    vector = let(let(let(marked, run_starts), counts), scaled)
+    return F.when(words.isNotNull(), vector)

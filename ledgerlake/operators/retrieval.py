@@ -32,6 +32,8 @@ MAX_QUESTION_BYTES = 64 << 20
 # One cell of the grid: so many questions against so many chunks.
 GRID_QUESTIONS = 5_000
 GRID_CHUNKS = 20_000
+# Groups that the finalists of one question are ranked in before the last ranking.
+FINAL_GROUPS = 64
 # Scores held at once while a task works through its chunks.
 SCORES_AT_ONCE = 4_000_000
 # Labels and layout of the prompts.
@@ -169,14 +171,20 @@ def retrieve(
         partial = _against_all(few, offered, k, schema, question_id, chunk_id, vector)
     else:
         partial = _on_grid(asked, offered, k, schema, question_id, chunk_id, vector, max_questions)
-    order = Window.partitionBy(question_id).orderBy(F.desc("score"), chunk_id)
-    return (
-        partial.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select(question_id, "rank", chunk_id, "score", *keep)
+    # The finalists of a question grow with the number of tasks, so they are first cut down in
+    # groups; then a few per group meet in one place.
+    salted = partial.withColumn("_group", F.pmod(F.xxhash64(chunk_id), F.lit(FINAL_GROUPS)))
+    cut_down = _ranked(salted, [question_id, "_group"], chunk_id, k)
+    return _ranked(cut_down, [question_id], chunk_id, k).select(
+        question_id, "rank", chunk_id, "score", *keep
     )
 
 
+def _ranked(df: DataFrame, by: Sequence[str], chunk_id: str, k: int) -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), chunk_id)
+    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def _against_all(
     few: pa.Table,
     chunks: DataFrame,

@@ -6,6 +6,7 @@ paragraph, and a short line becomes a heading.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import embedding, sections as S
 from ..plans.index import build_index
 from ..plans.medallion import enrich
-from ..workspace import ship_code
+from ..workspace import ship_code, spread_if_few
 from .registry import query, table
 
 HEADING_CHARS = 40
@@ -84,20 +85,29 @@ def hash_vectors_sql(name: str, rows: str, key: str, text: str) -> str:
     FROM {name}_counts)"""
 
 
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return spread_if_few(table(spark, folder, "documents").select(*columns))
+
+
 def markdown(spark: SparkSession, folder: str) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda l: F.trim(l) != "")
     marked = F.transform(
         lines, lambda l: F.when(F.length(l) < HEADING_CHARS, F.concat(F.lit("## "), l)).otherwise(l)
     )
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder, "source", "doc_id", "text").select(
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_path"),
         F.array_join(marked, "\n\n").alias("text"),
     )
 
 
 def entries(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
-    """The non-zero values of a vector column, one row each, rounded for comparison."""
-    return df.select(key, F.posexplode(vector).alias("dim", "value")).where(F.col("value") != 0).select(
+    """The non-zero values of a vector column, one row each, rounded for comparison.
+
+    The outer form of the generator keeps Spark from also working out the vectors in a filter for
+    empty arrays, which it would push down to the scan.
+    """
+    unfolded = df.select(key, F.posexplode_outer(vector).alias("dim", "value"))
+    return unfolded.where(F.col("value") != 0).select(
         key, "dim", F.round(F.col("value").cast("double"), 6).alias("value")
     )
 
@@ -124,20 +134,24 @@ SELECT doc_id, dim, round(value::DOUBLE, 6) AS value FROM vectors"""
 
 @query(DOCUMENT_VECTORS)
 def hash_embeddings(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    return entries(embedding.hash_embed(documents, "text", DIM), "doc_id")
+    texts = documents(spark, folder, "doc_id", "text")
+    return entries(embedding.hash_embed(texts, "text", DIM), "doc_id")
 
 
 def load_hash_model():
     """A batch function like one a user brings: here, hashed words again, in Python."""
 
+    @functools.lru_cache(maxsize=1 << 16)
+    def bucket(token: str) -> int:
+        return int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % DIM
+
     def embed(texts: list[str]) -> list[list[float]]:
         vectors = []
         for text in texts:
             counts = [0.0] * DIM
             for token in re.split(r"\s+", text.lower(), flags=re.ASCII):
                 if token:
-                    counts[int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % DIM] += 1.0
+                    counts[bucket(token)] += 1.0
             size = math.sqrt(sum(n * n for n in counts)) or 1.0
             vectors.append([n / size for n in counts])
         return vectors
@@ -148,8 +162,8 @@ def load_hash_model():
 @query(DOCUMENT_VECTORS)
 def embed_hook(spark, folder):
     """The same vectors, from a function the caller supplies."""
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    embedded = enrich(documents, lambda df, text: embedding.embed_column(df, text, load_hash_model), "text")
+    texts = documents(spark, folder, "doc_id", "text")
+    embedded = enrich(texts, lambda df, text: embedding.embed_column(df, text, load_hash_model), "text")
     return entries(embedded, "doc_id")
 
 

@@ -15,6 +15,7 @@ from ..operators import retrieval as R
 from ..operators.embedding import hash_embed
 from ..plans.index import build_index
 from .corpus import CHUNKS, DIM, RUN_TS, hash_vectors_sql, markdown
+from ..workspace import broadcast_if_small
 from .registry import query, table
 
 WIDTH = 64
@@ -70,7 +71,7 @@ def cosine_to_mean(spark, folder):
     )
     return (
         table(spark, folder, "embeddings")
-        .join(means, "label")
+        .join(broadcast_if_small(means), "label")
         .select("vec_id", "label", F.round(cosine("embedding", "mean"), 6).alias("score"))
     )
 

@@ -54,20 +54,31 @@ SELECT {DATA} FROM (
 def orders_log(spark: SparkSession, folder: str) -> DataFrame:
     """All commits in one scan: each order is unfolded into the change rows it takes part in."""
 
-    def change(v, branch, op, message, rows, status, price) -> Column:
-        row = F.struct(
-            F.expr(status).alias("o_orderstatus"),
-            F.expr(price).alias("o_totalprice"),
-            F.lit(branch).alias(L.BRANCH),
-            F.lit(v).cast("bigint").alias(L.VERSION),
-            moment(f"2024-01-{v + 1:02d}", "timestamp_ntz").alias(L.TS),
-            F.lit(op).alias(L.OP),
-            F.lit(message).alias(L.MESSAGE),
+    def by_version(values: list[Column]) -> Column:
+        """The value of the row's commit."""
+        whens = zip((c[0] for c in COMMITS), values)
+        return reduce(lambda w, vc: w.when(F.col(L.VERSION) == vc[0], vc[1]), whens, F)
+
+    _, branch, op, message, rows, status, price = zip(*COMMITS)
+    versions = F.array(*[F.lit(c[0]).cast("bigint") for c in COMMITS])
+    return (
+        table(spark, folder, "orders")
+        .withColumn(L.VERSION, F.explode(versions))
+        .where(by_version([F.expr(r) for r in rows]))
+        .select(
+            "o_orderkey",
+            "o_custkey",
+            by_version([F.expr(e) for e in status]).alias("o_orderstatus"),
+            by_version([F.expr(e) for e in price]).alias("o_totalprice"),
+            by_version([F.lit(b) for b in branch]).alias(L.BRANCH),
+            L.VERSION,
+            by_version(
+                [moment(f"2024-01-{c[0] + 1:02d}", "timestamp_ntz") for c in COMMITS]
+            ).alias(L.TS),
+            by_version([F.lit(o) for o in op]).alias(L.OP),
+            by_version([F.lit(m) for m in message]).alias(L.MESSAGE),
         )
-        return F.when(F.expr(rows), row)
-
-    changes = F.array_compact(F.array(*[change(*c) for c in COMMITS]))
-    return table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.inline(changes))
+    )
 
 
 def forks(spark: SparkSession) -> DataFrame:
