@@ -60,6 +60,12 @@ def _required(df: DataFrame, value: Column, problem: str) -> Column:
     return found.select(F.coalesce("value", failed)).scalar()
 
 
+def _need_version(seen: DataFrame, version: int) -> None:
+    """Refuse a version that is not there. Reads no more than its partition of the log."""
+    if seen.where(F.col(VERSION) == version).isEmpty():
+        raise ValueError(f"unknown version {version}")
+
+
 def fork_version(forks: DataFrame, branch: str) -> Column:
     rows = forks.where(F.col("branch") == branch)
     return _required(rows, F.max("fork_version"), f"unknown branch {branch}")
@@ -326,6 +332,8 @@ def diff_versions(
     wanted = data_columns(log, keys) if columns is None else list(columns)
     low, high = min(old, new), max(old, new)
     seen = _seen(log, branch, forks).where(F.col(VERSION) <= high)
+    _need_version(seen, old)
+    _need_version(seen, new)
     touched = F.col(VERSION) > low
     states = _states(
         _only_keys(seen, keys, seen.where(touched)),
@@ -436,12 +444,10 @@ def rollback_rows(
     """Change rows that bring the branch back to an earlier version, as a new commit."""
     columns = data_columns(log, keys)
     seen = _seen(log, branch, forks)
-    known = _required(
-        seen.where(F.col(VERSION) == version), F.max(VERSION), f"unknown version {version}"
-    )
+    _need_version(seen, version)
     touched = F.col(VERSION) > version
     states = _states(
-        _only_keys(seen, keys, seen.where(touched)).where(known.isNotNull()),
+        _only_keys(seen, keys, seen.where(touched)),
         keys,
         columns,
         {"now": F.lit(True), "then": F.col(VERSION) <= version},
@@ -465,7 +471,7 @@ def merge_branch(
 
     The ancestor is ``main`` at the older of the two forks, or, after an earlier merge of the same
     two branches, the source at ``merged_upto``, the source version that merge took in. The source
-    stays as it is. With ``expected_head`` the query fails if the target has moved past it.
+    stays as it is. With ``expected_head`` the merge is refused if the target has moved past it.
 
     Rows are merged one by one, which is finer than merging whole tables. A key is a conflict if
     both sides changed it since the ancestor and ended up different; the same change on both sides
@@ -477,11 +483,8 @@ def merge_branch(
     if merged_upto is not None:
         ancestor = F.lit(merged_upto).cast("bigint")
     else:
-        ancestor = reduce(
-            F.least, [fork_version(forks, b) for b in (source, target) if b != MAIN]
-        ) if MAIN not in (source, target) else fork_version(
-            forks, source if target == MAIN else target
-        )
+        forked = [fork_version(forks, b) for b in (source, target) if b != MAIN]
+        ancestor = F.least(*forked) if len(forked) > 1 else forked[0]
 
     marked = log.where(F.col(BRANCH).isin(MAIN, source, target)).select(
         *keys,
@@ -493,10 +496,9 @@ def merge_branch(
         (F.col(VERSION) <= ancestor).alias("is_old"),
     )
     if expected_head is not None:
-        head = _seen(log, target, forks).agg(F.max(VERSION).alias("head"))
-        moved = F.raise_error(F.lit(f"{target} is not at version {expected_head}")).cast("bigint")
-        checked = head.select(F.when(F.col("head") == expected_head, F.col("head")).otherwise(moved))
-        marked = marked.where(checked.scalar().isNotNull())
+        head = _seen(log, target, forks).agg(F.max(VERSION)).first()[0]
+        if head != expected_head:
+            raise ValueError(f"{target} is not at version {expected_head} but at {head}")
 
     touched = F.col("in_source") & ~F.col("is_old")
     states = _states(

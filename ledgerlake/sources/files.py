@@ -44,9 +44,13 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], root: str = "") -> DataFrame:
-    """Each file whole, as ``(source_path, text)``; ``root`` is cut off the front of the path."""
+    """Each file whole, as ``(source_path, text)``; ``root`` is cut off the front of the path.
+
+    Spark skips files without any bytes, which would give no section either.
+    """
     files = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
-    path = F.col("_metadata.file_path")
+    # The path comes percent-encoded; a plus sign in it stands for itself.
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     if root:
         path = F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 30)).otherwise(path)
     return files.select(path.alias("source_path"), F.col("value").alias("text"))
@@ -57,7 +61,7 @@ def read_files(spark: SparkSession, path: str, file_format: str = "parquet") ->
 
 
 def list_objects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Path, size and time of stored files. The content column is never read."""
+    """Path, size and time of stored files that have any bytes. Their content is never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     return files.select(
         "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
