@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import moment
+from ..workspace import broadcast_if_small
 
 BRANCH, VERSION, TS, OP, MESSAGE = "_branch", "_version", "_ts", "_op", "_message"
 META = (BRANCH, VERSION, TS, OP, MESSAGE)
@@ -228,19 +229,15 @@ def refork(forks: DataFrame, log: DataFrame, branch: str) -> DataFrame:
 def _only_keys(log: DataFrame, keys: Sequence[str], touched: DataFrame) -> DataFrame:
     """Log rows of the touched keys if those keys are few; else the whole log.
 
-    Callers drop untouched keys anyway, so this only saves shuffling them. The touched keys are
-    counted first; beyond the bound nothing is broadcast.
+    Callers drop untouched keys anyway, so this only saves shuffling them. A small change then
+    shuffles little however large the table is, and beyond the bound nothing is broadcast.
     """
-    distinct = touched.select(*keys).distinct()
-    width = reduce(Column.__add__, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys])
-    found = distinct.limit(SMALL_KEYS + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    if found[0] > SMALL_KEYS or (found[1] or 0) > SMALL_KEY_BYTES:
+    wanted = touched.select(*[F.col(k).alias(f"_touched_{k}") for k in keys]).distinct()
+    few = broadcast_if_small(wanted, SMALL_KEYS, SMALL_KEY_BYTES)
+    if few is wanted:
         return log
-    renamed = distinct.select(*[F.col(k).alias(f"_touched_{k}") for k in keys])
-    same = reduce(
-        Column.__and__, [F.col(k).eqNullSafe(F.col(f"_touched_{k}")) for k in keys]
-    )
-    return log.join(F.broadcast(renamed), same, "left_semi")
+    same = [F.col(k).eqNullSafe(F.col(f"_touched_{k}")) for k in keys]
+    return log.join(few, reduce(Column.__and__, same), "left_semi")
 
 
 def _states(

@@ -43,15 +43,30 @@ def run_guarded_sql(
     parser then names every relation it mentions, in subqueries and common table expressions too;
     one that is not among ``tables`` is refused before anything runs.
     """
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
     # The line break keeps a trailing comment from swallowing the bracket.
     wrapped = f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) LIMIT {int(max_rows)}"
-    plan = _parsed_plan(spark, wrapped)
+    hidden = {name: spark.table(name) for name in tables if _is_view(spark, name)}
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    try:
+        _check(spark, _parsed_plan(spark, wrapped), tables)
+        return spark.sql(wrapped)
+    finally:
+        # The result is resolved by now; the session gets back the views it had.
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
+def _check(spark: SparkSession, plan: str, tables: Mapping[str, DataFrame]) -> None:
     for part in REFUSED:
         if part in plan:
             raise ValueError(f"not allowed in a guarded query: {part.rstrip('(')}")
-
     allowed = {name.lower() for name in tables}
     defined = {
         name.strip().lower()
@@ -65,4 +80,3 @@ def run_guarded_sql(
     refused = read - allowed - defined
     if refused:
         raise ValueError(f"tables not allowed: {', '.join(sorted(refused))}")
-    return spark.sql(wrapped)

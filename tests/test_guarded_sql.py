@@ -55,3 +55,13 @@ def test_refused(spark, offered, sql):
     with pytest.raises(Exception):
         run_guarded_sql(spark, sql, offered, 10)
     assert spark.table("secret_people").count() == 15
+
+
+def test_the_session_keeps_its_own_views(spark, offered):
+    spark.range(3).createOrReplaceTempView("people_view")
+    frame = run_guarded_sql(spark, "SELECT count(*) AS n FROM people_view", offered, 10)
+    assert spark.table("people_view").count() == 3
+    assert frame.first()["n"] == 15
+    spark.catalog.dropTempView("people_view")
+    run_guarded_sql(spark, "SELECT 1 AS one", offered, 10)
+    assert not spark.catalog.tableExists("people_view")
