@@ -29,6 +29,8 @@ SCORE_DECIMALS = 12
 # How many question vectors every task may get, and how many bytes they may take.
 MAX_QUESTIONS = 10_000
 MAX_QUESTION_BYTES = 64 << 20
+# Ranked rows that a task may hold for all its questions together.
+MAX_KEPT = 100_000
 # One cell of the grid: so many questions against so many chunks.
 GRID_QUESTIONS = 5_000
 GRID_CHUNKS = 20_000
@@ -166,14 +168,15 @@ def retrieve(
     ).distinct()
     offered = chunks.select(chunk_id, vector, *keep)
     schema = _partial_schema(questions, question_id, chunks, chunk_id, keep)
+    max_questions = max(1, min(max_questions, MAX_KEPT // k))
     few = collect_if_small(asked, max_questions, MAX_QUESTION_BYTES)
     if few is not None:
         partial = _against_all(few, offered, k, schema, question_id, chunk_id, vector)
     else:
         partial = _on_grid(asked, offered, k, schema, question_id, chunk_id, vector, max_questions)
     # The finalists of a question grow with the number of tasks, so they are first cut down in
-    # groups; then a few per group meet in one place.
-    salted = partial.withColumn("_group", F.pmod(F.xxhash64(chunk_id), F.lit(FINAL_GROUPS)))
+    # groups of tasks; then a few per group meet in one place.
+    salted = partial.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(FINAL_GROUPS)))
     cut_down = _ranked(salted, [question_id, "_group"], chunk_id, k)
     return _ranked(cut_down, [question_id], chunk_id, k).select(
         question_id, "rank", chunk_id, "score", *keep
@@ -232,7 +235,8 @@ def _on_grid(
     def cell(names: Sequence[str], n: int) -> Column:
         return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int")
 
-    left = counted.withColumn("_part", cell([chunk_id, vector], n_parts)).withColumn(
+    # All columns go into the cell, so that not even chunks of one id and vector gather in one.
+    left = counted.withColumn("_part", cell(chunks.columns, n_parts)).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     )
     right = questions.withColumn("_block", cell([question_id, vector], n_blocks)).withColumn(
