@@ -509,21 +509,22 @@ def merge_branch(
         },
         touched,
     )
-    changed = states.where(~_same("base", "source", columns) & ~_same("source", "target", columns))
-    conflict = ~_same("base", "target", columns)
+    is_changed = ~_same("base", "source", columns) & ~_same("source", "target", columns)
+    is_conflict = is_changed & ~_same("base", "target", columns)
     if on_conflict == "fail":
+        # One expression, so that no other order of conditions can raise for an unchanged key.
         wrong = F.raise_error(F.lit(f"conflict between {source} and {target}")).cast("boolean")
-        applied = changed.where(F.when(conflict, wrong).otherwise(True))
+        applied = states.where(F.when(is_conflict, wrong).otherwise(is_changed))
     elif on_conflict == "target":
-        applied = changed.where(~conflict)
+        applied = states.where(is_changed & ~is_conflict)
     else:
-        applied = changed
+        applied = states.where(is_changed)
 
     def kind(side: str) -> Column:
         gone, born = F.col(side).isNull(), F.col("base").isNull()
         return F.when(gone, "delete").when(born, "insert").otherwise("update")
 
-    conflicts = changed.where(conflict).select(
+    conflicts = states.where(is_conflict).select(
         *keys,
         kind("source").alias("source_change"),
         kind("target").alias("target_change"),

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.checks import check_table, top_groups
+from ..operators.embedding import embedder
 from ..operators.guarded_sql import run_guarded_sql
 from ..plans import medallion
 from ..sources import files, tables
-from ..workspace import shared_folder
+from ..workspace import shared_folder, spread_if_few
 from .registry import query, table
 
 RUN_TS = "2024-01-01 00:00:00"
@@ -54,6 +55,24 @@ def silver_to_gold(spark, folder):
     return medallion.silver_to_gold(medallion.bronze_to_silver(people(spark, folder), run_ts()))
 
 
+@query(f"SELECT *, 'ledgerlake' AS record_source, 64 AS dims FROM ({SILVER})")
+def run_layers(spark, folder):
+    """All layers as tables, from a CSV file on; gold is shown with the size of its vectors."""
+    rows, shared = people(spark, folder), shared_folder(spark)
+    files.write_csv(rows, f"{shared}/people.csv")
+    written = medallion.run_layers(
+        spark,
+        f"{shared}/people.csv",
+        ts=run_ts(),
+        embed=embedder(),
+        schema=rows.schema,
+        prefix=f"ledgerlake_{uuid.uuid4().hex}_",
+        path=shared,
+    )
+    sizes = written["enriched"].select("id", F.size("embedding").alias("dims"))
+    return written["gold"].join(sizes, "id")
+
+
 @query(
     """
 SELECT c_custkey,
@@ -227,7 +246,7 @@ def json_roundtrip(spark, folder):
 def documents_wholetext(spark, folder):
     """Each item as a file of its own, read back whole. The writer ends a file with a line feed."""
     path = shared_folder(spark)
-    table(spark, folder, "benchmark").write.partitionBy("item_id").text(path)
+    spread_if_few(table(spark, folder, "benchmark")).write.partitionBy("item_id").text(path)
     item = F.regexp_extract("source_path", "item_id=([0-9]+)", 1).cast("bigint")
     return files.read_documents(spark, path).select(item.alias("item_id"), "text")
 

@@ -249,3 +249,16 @@ def test_branches_are_created_once_and_moved_only_when_empty(spark, people_log):
         forks = L.refork(forks, log, name)
     forks = L.create_branch(L.create_branch(forks, log, "dev"), log, "prod")
     assert dict(forks.collect()) == {"dev": 1, "staging": 2, "prod": 2}
+
+
+def test_edits_of_different_keys_are_no_conflict(spark, people_log):
+    forks = spark.createDataFrame([("dev", 2)], "branch STRING, fork_version BIGINT")
+    log = people_log
+    for version, branch, key in [(3, "main", 1), (4, "dev", 2), (5, "main", 3), (6, "dev", 3)]:
+        commit = L.Commit(version, "2024-02-01")
+        log = log.unionByName(
+            L.update_on_branch(log, KEY, branch, forks, f"id = {key}", {"name": F.lit("edited")}, commit)
+        )
+    merge = L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(7, "2024-02-02"), 5)
+    assert [r["id"] for r in merge.changes.collect()] == [2]
+    assert merge.conflicts.count() == 0
