@@ -6,7 +6,9 @@ under new ids; the questions are the mean vectors of its labels.
 
 from __future__ import annotations
 
+import heapq
 import json
+import math
 import time
 
 from pyspark.sql import functions as F
@@ -19,15 +21,17 @@ from ledgerlake.workspace import shared_folder
 
 def loop(questions, chunks, k):
     """One driver, one thread, every pair: what a first version of such a job does."""
-    asked, rows, found = questions.collect(), chunks.collect(), []
-    for q in asked:
-        scored = []
-        for row in rows:
-            a, b = q["embedding"], row["embedding"]
-            dot = sum(x * y for x, y in zip(a, b))
-            size = sum(x * x for x in a) ** 0.5 * sum(y * y for y in b) ** 0.5
-            scored.append((-(dot / size if size else 0.0), row["chunk_id"]))
-        found += [(q["question_id"], chunk) for _, chunk in sorted(scored)[:k]]
+    corpus = [(row["chunk_id"], row["embedding"]) for row in chunks.collect()]
+    found = []
+    for question in questions.collect():
+        asked = question["embedding"]
+
+        def closeness(chunk):
+            lengths = math.hypot(*asked) * math.hypot(*chunk[1])
+            return math.sumprod(asked, chunk[1]) / lengths if lengths else 0.0
+
+        best = heapq.nlargest(k, corpus, key=closeness)
+        found += [(question["question_id"], chunk_id) for chunk_id, _ in best]
     return found
 
 

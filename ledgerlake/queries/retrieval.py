@@ -158,23 +158,27 @@ def compare_retrieval(spark, folder):
     )
 
 
+# Equal sections of one document share a chunk id, so the SQL tells chunks apart by a number.
 RANKED_CHUNKS = f"""{CHUNKS},
-{hash_vectors_sql("c", "chunks", "chunk_id", "chunk_text")},
+each_chunk AS (
+    SELECT *, row_number() OVER (ORDER BY source_path, section_no, chunk_index) AS chunk_no
+    FROM chunks),
+{hash_vectors_sql("c", "each_chunk", "chunk_no", "chunk_text")},
 {hash_vectors_sql("q", "benchmark", "item_id", "text")},
-c_size AS (SELECT chunk_id, sqrt(sum(value::DOUBLE * value)) AS size FROM c GROUP BY chunk_id),
+c_size AS (SELECT chunk_no, sqrt(sum(value::DOUBLE * value)) AS size FROM c GROUP BY chunk_no),
 q_size AS (SELECT item_id, sqrt(sum(value::DOUBLE * value)) AS size FROM q GROUP BY item_id),
 dots AS (
-    SELECT q.item_id, c.chunk_id, sum(q.value::DOUBLE * c.value) AS dot
-    FROM q JOIN c USING (dim) GROUP BY q.item_id, c.chunk_id),
+    SELECT q.item_id, c.chunk_no, sum(q.value::DOUBLE * c.value) AS dot
+    FROM q JOIN c USING (dim) GROUP BY q.item_id, c.chunk_no),
 scores AS (
-    SELECT benchmark.item_id, chunks.chunk_id,
+    SELECT benchmark.item_id, each_chunk.chunk_no, each_chunk.chunk_id,
            round(coalesce(dot / (q_size.size * c_size.size), 0.0), {R.SCORE_DECIMALS}) AS score
-    FROM benchmark CROSS JOIN chunks LEFT JOIN dots USING (item_id, chunk_id)
-    LEFT JOIN q_size USING (item_id) LEFT JOIN c_size USING (chunk_id)),
+    FROM benchmark CROSS JOIN each_chunk LEFT JOIN dots USING (item_id, chunk_no)
+    LEFT JOIN q_size USING (item_id) LEFT JOIN c_size USING (chunk_no)),
 ranked AS (
-    SELECT item_id AS question_id, rank, score, chunks.*
+    SELECT item_id AS question_id, rank, score, source_path, section_title, chunk_text
     FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, chunk_id) AS rank
-          FROM scores) JOIN chunks USING (chunk_id)
+          FROM scores) JOIN each_chunk USING (chunk_no)
     WHERE rank <= 3)"""
 
 

@@ -33,15 +33,23 @@ def test_stable_id_is_sha256_of_joined_fields(spark):
 
 
 @pytest.mark.parametrize(
-    "text",
+    ("text", "sql"),
     [
-        "```sql\nSELECT 1\n```", "```\nSELECT 1```", "SELECT 1", "  ```sql SELECT 1 ```  ",
-        "```sql```SELECT 1", "SELECT '```'", "``` ```", "", " ```sql\nSELECT 1\n```\n\x1f",
+        ("```sql\nSELECT 1\n```", "SELECT 1"),
+        ("```\nSELECT 1```", "SELECT 1"),
+        ("SELECT 1", "SELECT 1"),
+        ("  ```sql SELECT 1 ```  ", "SELECT 1"),
+        ("```sql```SELECT 1", "SELECT 1"),
+        ("SELECT '```'", "SELECT '```'"),
+        ("SELECT '``` ```sql'", "SELECT '``` ```sql'"),
+        ("``` ```", ""),
+        ("", ""),
+        (" ```sql\nSELECT 1\n```\n\x1f", "SELECT 1"),
+        ("```SQL\nSELECT 1\n```", "SQL\nSELECT 1"),
     ],
-)
-def test_strip_code_fence(spark, text):
-    wanted = text.strip().removeprefix("```sql").removeprefix("```").removesuffix("```").strip()
-    assert one(spark, C.strip_code_fence("v"), v=text) == wanted
+)
+def test_strip_code_fence(spark, text, sql):
+    assert one(spark, C.strip_code_fence("v"), v=text) == sql
 
 
 @pytest.mark.parametrize("text", ["", " a ", "\x1f　a b\x85 ", "a", "\t\n", "a ", "x y"])
