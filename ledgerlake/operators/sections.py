@@ -99,20 +99,20 @@ def pack_chunks(sections: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     numbered = paragraphs.withColumn("number", _chunk_numbers(max_chars)(lengths))
     # No paragraph has a blank line in it, so two blank lines can only stand between chunks.
     number = F.col("number")
-    joined = F.array_join(
-        F.transform(
-            "texts",
-            lambda p, i: F.when(i == 0, p)
-            .when(number.isNull() | (number[i] == number[i - 1]), F.concat(F.lit("\n\n"), p))
-            .otherwise(F.concat(F.lit("\n\n\n"), p)),
-        ),
-        "",
+    marked = F.transform(
+        "texts",
+        lambda p, i: F.when(i == 0, p)
+        .when(number[i] == number[i - 1], F.concat(F.lit("\n\n"), p))
+        .otherwise(F.concat(F.lit("\n\n\n"), p)),
+    )
+    parts = F.when(number.isNull(), F.array(F.array_join("texts", "\n\n"))).otherwise(
+        F.split(F.array_join(marked, ""), "\n\n\n")
     )
     chunks = numbered.select(
         "source_path",
         "section_no",
         "section_title",
-        F.posexplode(F.split(joined, "\n\n\n")).alias("chunk_index", "chunk_text"),
+        F.posexplode(parts).alias("chunk_index", "chunk_text"),
     )
     return chunks.where(F.col("chunk_text") != "")
 
