@@ -9,6 +9,7 @@ import pytest
 from oracle import compare
 
 import __spark_entry__ as entry
+from ledgerlake.queries import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -28,13 +29,14 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    got = entry.queries()[name](spark, FOLDER).toArrow()
-    sql = entry.oracle_sql().get(name)
+    got = QUERIES[name](spark, FOLDER).toArrow()
+    sql = ORACLES.get(name)
     if sql is None:
         assert got.num_rows > 0
     else:
