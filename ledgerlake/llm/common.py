@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +23,10 @@ def ship(*modules: str) -> None:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
-def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+def stored(df: DataFrame, folder: str, name: str, by: str | None = None) -> DataFrame:
     """``df`` written below a shared folder and read again: a lost executor costs one step at most."""
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,9 +37,14 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps now, not at some later time."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished steps now, not at some later time.
+
+    It works in its own thread, a moment after the references to a shuffle are gone.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

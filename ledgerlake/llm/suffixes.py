@@ -8,11 +8,11 @@ whose anchor's bytes occur twice can be repeated.
 1. Anchors' hashes are dealt out by value; a document gets back its anchors that occur elsewhere too.
 2. Such an anchor's windows and their bytes are one record. Tasks merge equal records: the earliest
    stands, all windows of the others are repeated.
-3. Sampled splitters range-partition the records by the suffix at the anchor. A bucket compares
-   neighbours in the order of suffixes; suffixes of different texts under one anchor are sorted window by
-   window with a multikey sort, eight bytes at a time. Equal anchors never lie across a splitter. An
-   anchor with very many different surroundings (a line that a third of all documents hold) goes on as
-   single windows instead, merged per task and range-partitioned by all of their bytes.
+3. Sampled splitters range-partition the records by the suffix at the anchor, and a bucket sorts them.
+   Windows of different texts under one anchor are sorted with a multikey sort, eight bytes at a time,
+   and equal ones compared. An anchor may lie across a splitter, at the first or the last place of a
+   bucket, and an anchor may have very many surroundings (a line that a third of all documents hold):
+   their windows go on one by one, merged per task and range-partitioned by all of their bytes.
 4. Documents meet the starts of their repeated windows, and the covered bytes are cut out.
 
 Hashes only choose what is compared; what is removed was compared byte by byte.
@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, ship, stored, text_of, work_folder
+from .common import drop, release, ship, stored, text_of, work_folder
 
 ship(__name__)
 
 LENGTH = 100
-GRAM = 48
+GRAM = 32
 CHUNK = 1 << 20
 PLACE_BITS = np.uint64((1 << 24) - 1)
 BASE = 0x9E3779B97F4A7C15
@@ -57,11 +57,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     h += np.uint64(1)
     h *= MIX
     h ^= h >> np.uint64(32)
-    for m in (1, 2, 4, 8):
+    for m in (1, 2, 4, 8, 16):
         h = h[:-m] * power[m] + h[m:]
-    sixteen = h
-    h = h[:-16] * power[16] + h[16:]
-    h = h[:-16] * power[16] + sixteen[32:]
     h ^= h >> np.uint64(29)
     h *= MIX
     h ^= h >> np.uint64(32)
@@ -195,9 +192,10 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     return pa.table({"doc": pa.array(of[:, 0]), "digest": pa.array(of[:, 1]), "anchors": pa.array(blobs, pa.binary())})
 
 
-RECORD = "gram binary, bytes binary, before int, doc long, digest long, first long, last long"
-RECORD_KINDS = (pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-RECORD_NAMES = ["gram", "bytes", "before", "doc", "digest", "first", "last"]
+#: Bytes around an anchor, where in them it stands, and its windows' starts; without bytes, repeated windows.
+RECORD = "whole boolean, bytes binary, before int, doc long, digest long, first long, last long"
+RECORD_KINDS = (pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+RECORD_NAMES = ["whole", "bytes", "before", "doc", "digest", "first", "last"]
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
@@ -205,12 +203,8 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, RECORD_KINDS)], names=RECORD_NAMES)
 
 
-def _loser(place: tuple[int, int, int], windows: int) -> tuple:
-    return None, None, None, place[0], place[1], place[2], place[2] + windows - 1
-
-
 def _cut_records(length: int):
-    """A record for each distinct surroundings of an anchor; without ``bytes``, a run of repeated windows."""
+    """A record for each distinct surroundings of an anchor, and runs of repeated windows."""
 
     def run(batches):
         earliest: dict[bytes, tuple] = {}
@@ -218,26 +212,40 @@ def _cut_records(length: int):
 
         def stand():
             for data, (place, before) in earliest.items():
-                out.append((data[before : before + GRAM], data, before, *place, place[2] + len(data) - length))
+                out.append((True, data, before, *place, place[2] + len(data) - length))
             earliest.clear()
 
         for batch in batches:
             docs, digests, lists = (batch.column(i).to_pylist() for i in (0, 1, 3))
             for doc, digest, text, blobs in zip(docs, digests, _texts(batch.column(2)), lists):
-                anchors = np.frombuffer(b"".join(blobs), ANCHOR)
+                anchors = np.sort(np.frombuffer(b"".join(blobs), ANCHOR), order="place")
+                tail = None
                 for at, most, least in zip(*(anchors[c].tolist() for c in ("place", "most", "least"))):
                     data = text[at - most : at - least + length]
                     mine = (doc, digest, at - most)
                     known = earliest.setdefault(data, (mine, most))[0]
-                    if known != mine:
-                        if mine < known:
-                            earliest[data] = (mine, most)
-                        out.append(_loser(max(mine, known), len(data) - length + 1))
+                    if known == mine:
+                        continue
+                    if mine < known:
+                        earliest[data] = (mine, most)
+                    later = max(mine, known)
+                    if tail is not None and later is mine and tail[1] + 1 == at - most:
+                        tail[1] = at - least  # goes on where the run before it ends
+                    else:
+                        if tail is not None:
+                            out.append((False, None, None, doc, digest, *tail))
+                            tail = None
+                        if later is mine:
+                            tail = [at - most, at - least]
+                        else:
+                            out.append((False, None, None, *known, known[2] + len(data) - length))
+                if tail is not None:
+                    out.append((False, None, None, doc, digest, *tail))
                 if len(earliest) > 4 * RECORDS_AT_ONCE:
                     stand()
-                if len(out) > RECORDS_AT_ONCE:
-                    yield _records(out)
-                    out.clear()
+                while len(out) > RECORDS_AT_ONCE:
+                    yield _records(out[:RECORDS_AT_ONCE])
+                    del out[:RECORDS_AT_ONCE]
         stand()
         for i in range(0, len(out), RECORDS_AT_ONCE):
             yield _records(out[i : i + RECORDS_AT_ONCE])
@@ -271,8 +279,8 @@ def repeated_windows(records: list[tuple], length: int) -> list[tuple]:
     """Runs (doc, digest, first, last) of windows that are equal to an earlier one, among records of whole anchors."""
     out = []
     kept: dict[bytes, tuple] = {}
-    for gram, data, before, *place, _ in records:
-        mine = (*place, before)
+    for data, before, doc, digest, first in records:
+        mine = (doc, digest, first, before)
         known = kept.setdefault(data, mine)
         if known[:3] != mine[:3]:
             kept[data] = min(known, mine)
@@ -308,62 +316,77 @@ def repeated_windows(records: list[tuple], length: int) -> list[tuple]:
 
 
 RUNS = "doc long, digest long, first long, last long"
+MET = f"window binary, {RUNS}"
 
 
-def _runs(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "digest", "first", "last"])
+def _met(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64() if i else pa.binary()) for i, c in enumerate(columns)], names=["window", "doc", "digest", "first", "last"]
+    )
 
 
-def _compare_records(length: int):
-    """Records sorted by their anchors' suffixes: whole anchors at a time."""
+class _Windows:
+    """Single windows of some records, equal ones merged: without ``window``, a repeated one."""
 
-    def run(batches):
-        held: list[tuple] = []
-        for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            held.extend(rows)
-            if len(held) >= RECORDS_AT_ONCE:
-                cut = len(held)
-                while cut and held[cut - 1][0] == held[-1][0]:
-                    cut -= 1
-                yield _runs(repeated_windows(held[:cut], length))
-                held = held[cut:]
-        yield _runs(repeated_windows(held, length))
+    def __init__(self, length: int):
+        self.length = length
+        self.earliest: dict[bytes, tuple] = {}
+        self.out: list[tuple] = []
 
-    return run
+    def add(self, records: list[tuple]) -> None:
+        for data, _, doc, digest, first in records:
+            for i in range(len(data) - self.length + 1):
+                mine, window = (doc, digest, first + i), data[i : i + self.length]
+                known = self.earliest.setdefault(window, mine)
+                if known != mine:
+                    self.earliest[window] = min(mine, known)
+                    later = max(mine, known)
+                    self.out.append((None, *later, later[2]))
 
+    def take(self, at_least: int = 0) -> Iterator[pa.RecordBatch]:
+        if len(self.out) + len(self.earliest) > at_least:
+            self.out.extend((w, *place, place[2]) for w, place in self.earliest.items())
+            self.earliest.clear()
+            for i in range(0, len(self.out), RECORDS_AT_ONCE):
+                yield _met(self.out[i : i + RECORDS_AT_ONCE])
+            self.out.clear()
 
-WINDOW = "window binary, doc long, digest long, first long"
 
+def _compare_records(length: int, hot: int):
+    """Records sorted by their anchors' suffixes.
 
-def _single_windows(length: int):
-    """The windows of hot anchors, equal ones merged per task; without ``window``, a repeated one."""
+    Anchors inside the bucket are compared here, several at a time. The first and the last of a bucket
+    may go on in the next one, and an anchor may have very many records: these go on as windows.
+    """
 
     def run(batches):
-        earliest: dict[bytes, tuple] = {}
-        out: list[tuple] = []
-
-        def batch_of():
-            columns = list(zip(*out)) or [()] * 4
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i == 0 else pa.int64()) for i, c in enumerate(columns)], names=["window", "doc", "digest", "first"])
-
+        held: list[tuple] = []  # records of anchors that are whole
+        own: list[tuple] = []  # records of the anchor that is being read
+        gram, is_first, spilling = None, True, False
+        windows = _Windows(length)
         for batch in batches:
-            for _, data, _, doc, digest, first, last in zip(*(c.to_pylist() for c in batch.columns)):
-                for i in range(last - first + 1):
-                    mine, window = (doc, digest, first + i), data[i : i + length]
-                    known = earliest.setdefault(window, mine)
-                    if known != mine:
-                        earliest[window] = min(mine, known)
-                        out.append((None, *max(mine, known)))
-                if len(earliest) > 2 * RECORDS_AT_ONCE:
-                    out.extend((w, *place) for w, place in earliest.items())
-                    earliest.clear()
-                if len(out) > RECORDS_AT_ONCE:
-                    yield batch_of()
-        out.extend((w, *place) for w, place in earliest.items())
-        yield batch_of()
+            for record in zip(*(c.to_pylist() for c in batch.columns)):
+                here = record[0][record[1] : record[1] + GRAM]
+                if here != gram:
+                    if is_first or spilling:
+                        windows.add(own)
+                    else:
+                        held.extend(own)
+                    is_first = gram is None
+                    gram, own, spilling = here, [], False
+                    if len(held) >= RECORDS_AT_ONCE:
+                        yield _met([(None, *r) for r in repeated_windows(held, length)])
+                        held = []
+                own.append(record)
+                if len(own) > hot:
+                    spilling = True
+                    windows.add(own)
+                    own = []
+                    yield from windows.take(at_least=8 * RECORDS_AT_ONCE)
+        windows.add(own)
+        yield _met([(None, *r) for r in repeated_windows(held, length)])
+        yield from windows.take()
 
     return run
 
@@ -377,7 +400,8 @@ def _compare_windows(batches):
             if window == last and place != seen:
                 out.append((*place, place[2]))
             last, seen = window, place
-        yield _runs(out)
+        columns = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "digest", "first", "last"])
 
 
 def covered(starts: np.ndarray, length: int) -> np.ndarray:
@@ -417,29 +441,28 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
 
     lists = twice.groupBy("doc", "digest").agg(F.collect_list("anchors").alias("anchors"))
     with_text = keyed.join(lists, ["doc", "digest"]).select("doc", "digest", "data", "anchors")
-    records = stored(with_text.mapInArrow(_cut_records(length), RECORD), folder, "records")
+    records = stored(with_text.mapInArrow(_cut_records(length), RECORD), folder, "records", by="whole")
+    del with_text, lists, dealt
+    drop(spark, f"{folder}/anchors")
+    release(spark)
+
+    suffix = [F.expr(f"substring(bytes, before + 1, {GRAM})"), F.col("bytes")]
+    ordered = records.filter("whole").select("bytes", "before", "doc", "digest", "first").repartitionByRange(n, *suffix)
+    met = stored(ordered.sortWithinPartitions(*suffix).mapInArrow(_compare_records(length, hot), MET), folder, "met")
+    del ordered
+    drop(spark, f"{folder}/records/whole=true")
     release(spark)
 
     names = ["doc", "digest", "first", "last"]
-    found = [records.filter(F.col("bytes").isNull()).select(*names)]
-    whole = records.filter(F.col("bytes").isNotNull())
-    common = whole.groupBy("gram").count().filter(F.col("count") > hot).select("gram")
-    usual = whole.join(common, "gram", "left_anti").select(*RECORD_NAMES)
-    usual = usual.repartitionByRange(n, "gram").sortWithinPartitions("gram")
-    found.append(stored(usual.mapInArrow(_compare_records(length), RUNS), folder, "compared"))
-
-    windows = whole.join(common, "gram", "left_semi").select(*RECORD_NAMES).mapInArrow(_single_windows(length), WINDOW)
-    windows = stored(windows, folder, "windows")
-    found.append(windows.filter(F.col("window").isNull()).select("doc", "digest", "first", F.col("first").alias("last")))
-    ordered = windows.filter(F.col("window").isNotNull()).repartitionByRange(n, "window")
-    ordered = ordered.sortWithinPartitions("window", "doc", "digest", "first")
-    found.append(stored(ordered.mapInArrow(_compare_windows, RUNS), folder, "compared_windows"))
+    singles = met.filter(F.col("window").isNotNull()).select("window", "doc", "digest", "first").repartitionByRange(n, "window")
+    singles = singles.sortWithinPartitions("window", "doc", "digest", "first")
+    late = stored(singles.mapInArrow(_compare_windows, RUNS), folder, "late")
+    del singles
     release(spark)
 
-    every = found[0]
-    for rows in found[1:]:
-        every = every.unionByName(rows)
-    packed = F.concat(*[F.unhex(F.concat(*[F.lpad(F.hex(F.col(c)), 16, "0")])) for c in ("first", "last")])
+    runs = spark.read.schema(RUNS).parquet(f"{folder}/records/whole=false").select(*names)
+    every = runs.unionByName(met.filter(F.col("window").isNull()).select(*names)).unionByName(late)
+    packed = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("first", "last")]))
     return every.groupBy("doc", "digest").agg(F.collect_list(packed).alias("runs"))
 
 
