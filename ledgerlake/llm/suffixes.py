@@ -460,7 +460,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
     del singles
     release(spark)
 
-    runs = spark.read.schema(RUNS).parquet(f"{folder}/records/whole=false").select(*names)
+    runs = records.filter(~F.col("whole")).select(*names)
     every = runs.unionByName(met.filter(F.col("window").isNull()).select(*names)).unionByName(late)
     packed = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("first", "last")]))
     return every.groupBy("doc", "digest").agg(F.collect_list(packed).alias("runs"))

@@ -14,8 +14,8 @@ import types
 from collections.abc import Iterable
 
 # Letters and marks between which both kinds of pre-tokenizer always cut; no apostrophe, because of
-# contractions, and no digits.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# contractions, no digits, and no İ, which lower case turns into two characters.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 MARKS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
 PIECE = re.compile(rf" ?[{LETTERS}]+(?=[{MARKS}\s]|\Z)| ?\S+|\s+(?!\S)|\s")
 WORD = re.compile(rf"[{LETTERS}]+(?=[{MARKS}\s]|\Z)|\S+")
