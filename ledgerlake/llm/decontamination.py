@@ -34,7 +34,7 @@ BLOOM_BITS, BLOOM_PROBES = 1 << 23, 3
 LEAST_PLAIN = 2
 #: Matches whose places differ by fewer words than this belong together.
 DRIFT = 8
-MAX_KNOWN_WORDS = 400_000
+MAX_KNOWN_WORDS = 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 NUMBER = re.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
@@ -108,8 +108,10 @@ class Words(dict):
 def _known_words() -> Words:
     """The worker's words. They outlive a task, though this code is shipped by value."""
     held = sys.modules.setdefault("_ledgerlake_worker", types.ModuleType("_ledgerlake_worker"))
-    known = held.__dict__.setdefault("template_words", Words())
-    return known
+    if "template_words" not in held.__dict__:
+        held.__dict__.clear()  # one kind of cache in a worker at a time
+        held.__dict__["template_words"] = Words()
+    return held.__dict__["template_words"]
 
 
 def templates(text: str, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

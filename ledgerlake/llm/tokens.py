@@ -24,7 +24,7 @@ UNSAFE_ASCII = re.compile("[\x1c-\x1f]")
 UNSAFE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 # White space beside a space, at the end or at the start: then single spaces are no safe cuts.
 WIDE = re.compile(r" \s|[^\S ] |\s\Z|\A\s")
-MAX_PIECES = 800_000
+MAX_PIECES = 400_000
 MAX_PIECE_CHARS = 64
 
 
@@ -135,6 +135,8 @@ def encoder(path: str) -> Encoder:
     held = sys.modules.setdefault("_ledgerlake_worker", types.ModuleType("_ledgerlake_worker"))
     known = held.__dict__.setdefault("encoders", {})
     if path not in known:
+        held.__dict__.clear()  # one kind of cache in a worker at a time
+        known = held.__dict__.setdefault("encoders", {})
         gc.disable()  # the caches hold no cycles, and walking them again and again costs more than the work
         known[path] = Encoder(path)
     return known[path]
