@@ -22,15 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import moment
-from ..workspace import broadcast_if_small
 
 BRANCH, VERSION, TS, OP, MESSAGE = "_branch", "_version", "_ts", "_op", "_message"
 META = (BRANCH, VERSION, TS, OP, MESSAGE)
 MAIN = "main"
 
 # Keys of a small change are sent to every task, so that only their rows are shuffled.
-SMALL_KEYS = 200_000
-SMALL_KEY_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -227,17 +224,10 @@ def refork(forks: DataFrame, log: DataFrame, branch: str) -> DataFrame:
 
 
 def _only_keys(log: DataFrame, keys: Sequence[str], touched: DataFrame) -> DataFrame:
-    """Log rows of the touched keys if those keys are few; else the whole log.
-
-    Callers drop untouched keys anyway, so this only saves shuffling them. A small change then
-    shuffles little however large the table is, and beyond the bound nothing is broadcast.
-    """
+    """Log rows of the touched keys, so that a small change shuffles little of a large table."""
     wanted = touched.select(*[F.col(k).alias(f"_touched_{k}") for k in keys]).distinct()
-    few = broadcast_if_small(wanted, SMALL_KEYS, SMALL_KEY_BYTES)
-    if few is wanted:
-        return log
     same = [F.col(k).eqNullSafe(F.col(f"_touched_{k}")) for k in keys]
-    return log.join(few, reduce(Column.__and__, same), "left_semi")
+    return log.join(wanted, reduce(Column.__and__, same), "left_semi")
 
 
 def _states(
@@ -378,7 +368,12 @@ def update_on_branch(
     assign: Mapping[str, Column],
     commit: Commit,
 ) -> DataFrame:
-    """Change rows of ``UPDATE … SET … WHERE`` on one branch. Other branches do not see them."""
+    """Change rows of ``UPDATE … SET … WHERE`` on one branch. Other branches do not see them.
+
+    A key cannot be assigned: that would leave the old row and add another one.
+    """
+    if set(assign) & set(keys):
+        raise ValueError(f"keys cannot be assigned: {sorted(set(assign) & set(keys))}")
     rows = read_branch(log, keys, branch, forks).where(where)
     return _committed(rows.withColumns({**assign, OP: F.lit("U")}), log, branch, commit)
 

@@ -43,22 +43,19 @@ CONTEXT_BLOCK = "Fuente: %s :: %s\n%s"
 CONTEXT_CUE = "Contexto recuperado:\n"
 QUESTION_CUE = "Pregunta:\n"
 ANSWER_CUE = "Respuesta:"
-NO_EVIDENCE = "No encontré evidencia suficiente en la documentación indexada"
-GROUNDED_INSTRUCTION = (
-    "Usá únicamente el contexto recuperado para responder, sin inventar nada. "
-    f"Si no alcanza, decí: '{NO_EVIDENCE}'."
-)
-PLAIN_INSTRUCTION = "Respondé la pregunta sin documentación, con lo que sepas."
 
 
 def nearest(
     chunks: DataFrame, vector: Column | Sequence[float], k: int = TOP_K, col: str = "embedding"
 ) -> DataFrame:
-    """The k chunks closest to one vector, which may also come from a scalar subquery."""
+    """The k chunks closest to one vector, which may also come from a scalar subquery.
+
+    A vector with a NaN never ranks.
+    """
     question = vector if isinstance(vector, Column) else F.array(*[F.lit(float(x)) for x in vector])
     score = F.round(cosine(col, "_question"), SCORE_DECIMALS)
     scored = chunks.withColumn("_question", question).withColumn("score", score).drop("_question")
-    return scored.orderBy(F.desc("score"), "chunk_id").limit(k)
+    return scored.where(~F.isnan("score")).orderBy(F.desc("score"), "chunk_id").limit(k)
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
@@ -99,11 +96,13 @@ class _Best:
     def _show_block(self, rows: pa.Table) -> None:
         vectors = _matrix(rows.column(self.vector), self.questions.shape[1])
         rough = _scaled(vectors) @ self.questions.T
+        valid = ~np.isnan(rough)  # a vector with a NaN never ranks
+        rough[~valid] = -np.inf
         # The last digits of a matrix product depend on where a row stands in it. So it only
         # rules rows out, with a margin, and the rest are scored one by one.
         n = len(vectors)
         cut = np.partition(rough, n - self.k, axis=0)[n - self.k] if n > self.k else -np.inf
-        row, question = np.nonzero(rough >= np.maximum(cut, self.bar) - 1e-9)
+        row, question = np.nonzero((rough >= np.maximum(cut, self.bar) - 1e-9) & valid)
         if len(row):
             score = self._scores(vectors, row, question)
             found = rows.drop_columns([self.vector]).take(pa.array(row))
@@ -268,11 +267,12 @@ def build_prompts(
     ranked: DataFrame,
     questions: DataFrame,
     question_id: str = "question_id",
-    instruction: str = GROUNDED_INSTRUCTION,
     path: str = "source_path",
     title: str = "section_title",
     text: str = "chunk_text",
     question: str = "question",
+    *,
+    instruction: str,
 ) -> DataFrame:
     """One grounded prompt per question: instruction, the ranked chunks as context, the question.
 
@@ -296,8 +296,9 @@ def build_prompts(
 def build_plain_prompts(
     questions: DataFrame,
     question_id: str = "question_id",
-    instruction: str = PLAIN_INSTRUCTION,
     question: str = "question",
+    *,
+    instruction: str,
 ) -> DataFrame:
     """One prompt per question without any context, to compare against."""
     prompt = F.concat(

@@ -56,7 +56,7 @@ def enrich(
 def run_layers(
     spark: SparkSession,
     csv_path: str,
-    upto: str = "enriched",
+    upto: str | None = None,
     ts: Column | datetime | str | None = None,
     embed: Callable[[DataFrame, str], DataFrame] | None = None,
     only: str | None = None,
@@ -70,6 +70,9 @@ def run_layers(
     out twice and a lost executor costs one layer at most. ``prefix`` goes before the namespaces
     and ``path`` is the folder for the files, where the catalog's own is not wanted.
     """
+    upto = upto or ("gold" if embed is None else "enriched")
+    if embed is None and "enriched" in (upto, only):
+        raise ValueError("the enriched layer needs embed")
     if upto not in LAYERS or (only is not None and only not in LAYERS):
         raise ValueError(f"layers are {', '.join(LAYERS)}")
     wanted = [only] if only else LAYERS[: LAYERS.index(upto) + 1]
@@ -88,7 +91,7 @@ def run_layers(
         store("silver_by_initial", "silver", "people_partitioned", by_initial, ["name_initial"])
     if "gold" in wanted:
         store("gold", "gold", "people", silver_to_gold(spark.table(f"{prefix}silver.people")))
-    if "enriched" in wanted and embed is not None:
+    if "enriched" in wanted:
         vectors = enrich(spark.table(f"{prefix}bronze.people"), embed)
         store("enriched", "silver", "people_embeddings", vectors)
     return written

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import embedding, sections as S
 from ..plans.index import build_index
 from ..plans.medallion import enrich
-from ..workspace import ship_code, spread_if_few
+from ..workspace import ship_code
 from .registry import query, table
 
 HEADING_CHARS = 40
@@ -86,7 +86,7 @@ def hash_vectors_sql(name: str, rows: str, key: str, text: str) -> str:
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return spread_if_few(table(spark, folder, "documents").select(*columns))
+    return table(spark, folder, "documents").select(*columns)
 
 
 def markdown(spark: SparkSession, folder: str) -> DataFrame:

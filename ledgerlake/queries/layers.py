@@ -13,7 +13,7 @@ from ..operators.embedding import embedder
 from ..operators.guarded_sql import run_guarded_sql
 from ..plans import medallion
 from ..sources import files, tables
-from ..workspace import shared_folder, spread_if_few
+from ..workspace import shared_folder
 from .registry import query, table
 
 RUN_TS = "2024-01-01 00:00:00"
@@ -150,11 +150,6 @@ def layer_checks(spark, folder):
     )
 
 
-@query()
-def object_inventory(spark, folder):
-    return files.list_objects(spark, folder)
-
-
 METADATA_PATHS = """
 SELECT 's3://w/' || lower(c_mktsegment) || '/' || t || '_' ||
        regexp_replace(md5(c_nationkey::VARCHAR), '^(.{8})(.{4})(.{4})(.{4})(.{12})$',
@@ -217,11 +212,14 @@ def append_evolving(spark, folder):
     return tables.append_evolving(sized, name)
 
 
-@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@query("SELECT conv_id, turn, role, '\"' || text || '\", ' || chr(10) || role AS text FROM conversations")
 def csv_roundtrip(spark, folder):
-    customers, path = table(spark, folder, "customer"), shared_folder(spark)
-    files.write_csv(customers, path)
-    return files.read_csv(spark, path, customers.schema)
+    """Texts with quotes, commas and line ends, written and read again."""
+    path = shared_folder(spark)
+    quoted = F.concat(F.lit('"'), "text", F.lit('", \n'), "role").alias("text")
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", quoted)
+    files.write_csv(said, path)
+    return files.read_csv(spark, path, said.schema, multi_line=True)
 
 
 @query(
@@ -246,7 +244,7 @@ def json_roundtrip(spark, folder):
 def documents_wholetext(spark, folder):
     """Each item as a file of its own, read back whole. The writer ends a file with a line feed."""
     path = shared_folder(spark)
-    spread_if_few(table(spark, folder, "benchmark")).write.partitionBy("item_id").text(path)
+    table(spark, folder, "benchmark").write.partitionBy("item_id").text(path)
     item = F.regexp_extract("source_path", "item_id=([0-9]+)", 1).cast("bigint")
     return files.read_documents(spark, path).select(item.alias("item_id"), "text")
 

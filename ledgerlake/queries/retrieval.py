@@ -15,11 +15,14 @@ from ..operators import retrieval as R
 from ..operators.embedding import hash_embed
 from ..plans.index import build_index
 from .corpus import CHUNKS, DIM, RUN_TS, hash_vectors_sql, markdown
-from ..workspace import broadcast_if_small
 from .registry import query, table
 
 WIDTH = 64
 
+# Instructions of the registered prompts.
+GROUNDED = "Answer from the context below, and say so where it does not hold the answer."
+PLAIN = "Answer the question."
+
 MEANS = f"""
 entries AS (
     SELECT vec_id, label, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) AS i
@@ -71,7 +74,7 @@ def cosine_to_mean(spark, folder):
     )
     return (
         table(spark, folder, "embeddings")
-        .join(broadcast_if_small(means), "label")
+        .join(means, "label")
         .select("vec_id", "label", F.round(cosine("embedding", "mean"), 6).alias("score"))
     )
 
@@ -197,7 +200,7 @@ def ranked_chunks(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {RANKED_CHUNKS}
 SELECT benchmark.item_id AS question_id,
-       '{R.GROUNDED_INSTRUCTION.replace("'", "''")}' || chr(10) || chr(10) ||
+       '{GROUNDED}' || chr(10) || chr(10) ||
        'Contexto recuperado:' || chr(10) || context || chr(10) || chr(10) ||
        'Pregunta:' || chr(10) || text || chr(10) || chr(10) || 'Respuesta:' AS prompt
 FROM benchmark JOIN (
@@ -206,15 +209,15 @@ FROM benchmark JOIN (
         chr(10) || chr(10) ORDER BY rank) AS context
     FROM ranked GROUP BY question_id) USING (item_id)""")
 def grounded_prompts(spark, folder):
-    return R.build_prompts(ranked_chunks(spark, folder), benchmark_questions(spark, folder))
+    return R.build_prompts(ranked_chunks(spark, folder), benchmark_questions(spark, folder), instruction=GROUNDED)
 
 
 @query(f"""
-SELECT item_id AS question_id, '{R.PLAIN_INSTRUCTION}' || chr(10) || chr(10) ||
+SELECT item_id AS question_id, '{PLAIN}' || chr(10) || chr(10) ||
        'Pregunta:' || chr(10) || text || chr(10) || chr(10) || 'Respuesta:' AS prompt
 FROM benchmark""")
 def plain_prompts(spark, folder):
-    return R.build_plain_prompts(benchmark_questions(spark, folder))
+    return R.build_plain_prompts(benchmark_questions(spark, folder), instruction=PLAIN)
 
 
 @query(f"""

@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, at the cost of one more read."""
-    reader = spark.read.option("header", True)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header; a quote inside a quoted value is doubled, and an empty value in quotes is a text.
+
+    Without a schema the types are inferred, at the cost of one more read. ``multi_line`` reads values
+    that hold line ends; files can then not be split.
+    """
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def read_json_records(

@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The columns of a chunk table.
 CHUNK_SCHEMA = StructType(
     [
         StructField("chunk_id", StringType(), False),

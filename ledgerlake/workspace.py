@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -17,14 +15,10 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """A new, empty folder name that every executor can reach.
 
-    It lies under the session's ``spark.checkpoint.dir``. Only a local session without
-    that setting falls back to a temporary folder of this machine.
+    It lies under the session's ``spark.checkpoint.dir``; where that is unset, under the
+    warehouse, which executors share as well.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="ledgerlake-")
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/ledgerlake-{uuid.uuid4().hex}"
 
 
@@ -37,28 +31,6 @@ def collect_if_small(df: DataFrame, max_rows: int, max_bytes: int) -> pa.Table |
     return rows if rows.num_rows <= max_rows and rows.nbytes <= max_bytes else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """``df`` as checked small rows with a broadcast hint, or ``df`` itself beyond the bound.
-
-    The rows come from the check, so ``df`` is not worked out again, and the other side of a join
-    is not shuffled while Spark is still finding out how small this side is.
-    """
-    rows = collect_if_small(df, max_rows, max_bytes)
-    if rows is None:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def spread_if_few(scan: DataFrame) -> DataFrame:
-    """A scan of fewer tasks than cores, dealt out to all cores; a larger scan as it is.
-
-    For heavy work per row on a table of few files. The deal moves at most a task's worth of
-    data per core, and never happens once the table fills the cluster by itself.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def ship_code(module_name: str) -> None:
     """Send the functions of a module to tasks by value, so executors need no copy of it."""
     cloudpickle.register_pickle_by_value(sys.modules[module_name])

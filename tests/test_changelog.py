@@ -164,15 +164,18 @@ def test_replace(spark, history, forks):
     assert 2 not in [r["id"] for r in rows.collect()]
 
 
-def test_few_and_many_touched_keys_agree(spark, history, forks, monkeypatch):
+def test_a_diff_only_checks_its_versions_while_it_is_built(spark, history):
     log = history.log(spark)
     old, new = history.versions("main")[0], history.versions("main")[-1]
-    few = L.diff_versions(log, KEY, old, new)
-    monkeypatch.setattr(L, "SMALL_KEYS", 1)
-    many = L.diff_versions(log, KEY, old, new)
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in many._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    spark.sparkContext.setJobGroup("diff", "diff")
+    L.diff_versions(log, KEY, old, new)
+    # Whether a version is there takes one job, or two where the first partition is empty.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("diff")) <= 4
+
+
+def test_keys_cannot_be_assigned(spark, history, forks):
+    with pytest.raises(ValueError, match="keys"):
+        L.update_on_branch(history.log(spark), KEY, "dev", forks, "true", {KEY[0]: F.lit(1)}, L.Commit(99, "2024-01-01"))
 
 
 @pytest.fixture

@@ -106,3 +106,9 @@ def test_etl_with_a_failed_check_does_not_merge(branch):
     _, result = etl(branch, min_rows=100)
     with pytest.raises(Exception, match="a check of branch dev did not pass"):
         result.merge.changes.collect()
+
+
+def test_the_enriched_layer_needs_embed(spark):
+    for options in ({"only": "enriched"}, {"upto": "enriched"}):
+        with pytest.raises(ValueError, match="embed"):
+            M.run_layers(spark, "none.csv", **options)

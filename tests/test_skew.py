@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import changelog as L
 from ledgerlake.operators.checks import top_groups
-from ledgerlake.workspace import spread_if_few
 
 N = 300_000
 
@@ -48,10 +47,3 @@ def test_hot_key_is_read_and_merged(spark):
 def test_hot_group_is_counted(spark):
     first = top_groups(hot_log(spark), ["k"], 2).collect()
     assert [tuple(r) for r in first] == [(0, N // 3), (1, 1)]
-
-
-def test_only_small_scans_are_dealt_out(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_if_few(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 1)
-    assert spread_if_few(many) is many
