@@ -8,7 +8,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from ledgerlake.queries import QUERIES
 from ledgerlake.operators import changelog as L
 from ledgerlake.operators import sections as S
 from ledgerlake.plans.index import build_index
@@ -28,9 +28,9 @@ def stored_log(spark, tmp_path_factory):
     return spark.read.schema(log.schema).parquet(path)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_query_pairs_everything_with_everything(spark, name):
-    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
     assert "Exchange SinglePartition" not in re.sub(r"Subquery.*", "", plan, flags=re.S) or name in {
@@ -83,10 +83,10 @@ def test_sections_do_not_carry_whole_documents(spark):
 
 
 def test_retrieval_ranks_on_the_map_side(spark):
-    plan = plan_of(entry.queries()["retrieve_top3"](spark, FOLDER))
+    plan = plan_of(QUERIES["retrieve_top3"](spark, FOLDER))
     mapped = plan[plan.index("MapInArrow") - 2000 : plan.index("MapInArrow")]
     assert "WindowGroupLimit" in mapped and "Partial" in mapped
-    plan = plan_of(entry.queries()["retrieve_one"](spark, FOLDER))
+    plan = plan_of(QUERIES["retrieve_one"](spark, FOLDER))
     assert "TakeOrderedAndProject" in plan
-    plan = plan_of(entry.queries()["top_department_countries"](spark, FOLDER))
+    plan = plan_of(QUERIES["top_department_countries"](spark, FOLDER))
     assert "TakeOrderedAndProject" in plan
