@@ -21,6 +21,8 @@ SUBSETS = 16
 MAX_LEVEL = 18
 MIN_SHARE, MAX_SHARE = 2e-6, 0.2
 LEAST_ID = -(1 << 63)
+#: Ranges of ids for each shuffle partition, so that these come out even.
+RANGES_PER_TASK = 4
 
 
 def term_hashes(text: Column) -> Column:
@@ -125,32 +127,35 @@ def _bucket(bounds: list[int]) -> Column:
     )
 
 
-def with_next(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` (_id, _digest and others) with ``next_<c>``: columns of the next row in descending order.
+def ranged(rows: DataFrame) -> DataFrame:
+    """Rows (_id, _digest and others) with ``_range``, and copies (``_copy`` 1) of those that start a range.
 
-    The order is _id, then _digest; after the last row comes the first. Rows are dealt to ranges of ids,
-    and the first row of each range is also put behind the last row of the range above, so no task sees
-    all rows. One id per range comes to the driver.
+    The order is descending, by _id and then _digest. Rows are dealt to ranges of ids, and the first row
+    of each range is also put behind the last row of the range above (that of the first range behind the
+    last of all), so that no task needs to see all rows. One id per range comes to the driver.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = df.select("_id", "_digest")
+    spark = rows.sparkSession
+    n = RANGES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = rows.select("_id", "_digest")
     found = ids.agg(F.percentile_approx("_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted(set(found))
-    ranged = df.withColumn("_range", _bucket(bounds))
-    firsts = ids.withColumn("_range", _bucket(bounds)).groupBy("_range").agg(F.max(F.struct("_id", "_digest")).alias("top"))
+    bucket = _bucket(sorted(set(found)))
+    firsts = ids.withColumn("_range", bucket).groupBy("_range").agg(F.max(F.struct("_id", "_digest")).alias("top"))
     tops = sorted((r["_range"], r["top"]["_id"], r["top"]["_digest"]) for r in firsts.collect())
     above = [(i, d, tops[(k + 1) % len(tops)][0]) for k, (_, i, d) in enumerate(tops)]
     small = spark.createDataFrame(above, "_top bigint, _top_digest bigint, _to int")
     same = (F.col("_id") == F.col("_top")) & (F.col("_digest") == F.col("_top_digest"))
-    copies = ranged.join(F.broadcast(small), same).withColumn("_range", F.col("_to")).drop("_top", "_top_digest", "_to")
-    both = ranged.withColumn("_copy", F.lit(0)).unionByName(copies.withColumn("_copy", F.lit(1)))
+    marked = rows.join(F.broadcast(small), same, "left")
+    places = F.array(F.struct(bucket.alias("_range"), F.lit(0).alias("_copy")))
+    copy = F.array(F.struct(F.col("_to").alias("_range"), F.lit(1).alias("_copy")))
+    both = F.when(F.col("_to").isNull(), places).otherwise(F.concat(places, copy))
+    return marked.select(*rows.columns, F.inline(both))
+
+
+def with_next(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` from ``ranged`` without its copies, with ``next_<c>``: columns of the next row in order."""
     order = Window.partitionBy("_range").orderBy("_copy", F.col("_id").desc(), F.col("_digest").desc())
-    return (
-        both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-        .filter("_copy = 0")
-        .drop("_copy", "_range")
-    )
+    nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}
+    return df.withColumns(nexts).filter("_copy = 0").drop("_copy", "_range")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -174,7 +179,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("_digest"),
         text.alias("text"),
     )
-    own = fingerprint(rows, "text", known, "print")
+    own = fingerprint(ranged(rows), "text", known, "print")
     chained = with_next(own, ["text", "print"])
     chained = chained.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     both = fingerprint(chained.drop("next_text"), "edited", known, "edited_print")
