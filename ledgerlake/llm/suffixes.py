@@ -327,7 +327,7 @@ def _met(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class _Windows:
-    """Single windows of some records, equal ones merged: without ``window``, a repeated one."""
+    """Single windows of some records, equal ones merged: without ``window``, a run of repeated ones."""
 
     def __init__(self, length: int):
         self.length = length
@@ -336,13 +336,22 @@ class _Windows:
 
     def add(self, records: list[tuple]) -> None:
         for data, _, doc, digest, first in records:
+            run = None
             for i in range(len(data) - self.length + 1):
                 mine, window = (doc, digest, first + i), data[i : i + self.length]
                 known = self.earliest.setdefault(window, mine)
-                if known != mine:
-                    self.earliest[window] = min(mine, known)
-                    later = max(mine, known)
-                    self.out.append((None, *later, later[2]))
+                if mine > known:
+                    if run is not None and run[1] + 1 == first + i:
+                        run[1] = first + i  # goes on where the run before it ends
+                    else:
+                        if run is not None:
+                            self.out.append((None, doc, digest, *run))
+                        run = [first + i, first + i]
+                elif mine < known:
+                    self.earliest[window] = mine
+                    self.out.append((None, *known, known[2]))
+            if run is not None:
+                self.out.append((None, doc, digest, *run))
 
     def take(self, at_least: int = 0) -> Iterator[pa.RecordBatch]:
         if len(self.out) + len(self.earliest) > at_least:
