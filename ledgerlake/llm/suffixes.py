@@ -12,7 +12,7 @@ whose anchor's bytes occur twice can be repeated.
    Windows of different texts under one anchor are sorted with a multikey sort, eight bytes at a time,
    and equal ones compared. An anchor may lie across a splitter, at the first or the last place of a
    bucket, and an anchor may have very many surroundings (a line that a third of all documents hold):
-   their windows go on one by one, merged per task and range-partitioned by all of their bytes.
+   their windows go on, merged per task and dealt by hash, and those with equal hashes are compared.
 4. Documents meet the starts of their repeated windows, and the covered bytes are cut out.
 
 Hashes only choose what is compared; what is removed was compared byte by byte.
@@ -316,21 +316,36 @@ def repeated_windows(records: list[tuple], length: int) -> list[tuple]:
 
 
 RUNS = "doc long, digest long, first long, last long"
-MET = f"window binary, {RUNS}"
+#: A run of repeated windows, or windows of one bucket by hash: their bytes and places, one after another.
+MET = f"bucket int, windows binary, places binary, {RUNS}"
+MET_KINDS = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+MET_NAMES = ["bucket", "windows", "places", "doc", "digest", "first", "last"]
 
 
 def _met(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 5
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64() if i else pa.binary()) for i, c in enumerate(columns)], names=["window", "doc", "digest", "first", "last"]
-    )
+    columns = list(zip(*rows)) or [()] * len(MET_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, MET_KINDS)], names=MET_NAMES)
+
+
+def _run(doc: int, digest: int, first: int, last: int) -> tuple:
+    return None, None, None, doc, digest, first, last
+
+
+def window_hashes(windows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of bytes."""
+    words = np.pad(windows, ((0, 0), (0, -windows.shape[1] % 8))).view("<u8")
+    h = np.zeros(len(words), np.uint64)
+    for i in range(words.shape[1]):
+        h = (h ^ words[:, i]) * MIX
+        h ^= h >> np.uint64(32)
+    return h
 
 
 class _Windows:
-    """Single windows of some records, equal ones merged: without ``window``, a run of repeated ones."""
+    """Single windows of some records, equal ones merged and dealt by hash, and runs of repeated ones."""
 
-    def __init__(self, length: int):
-        self.length = length
+    def __init__(self, length: int, buckets: int):
+        self.length, self.buckets = length, buckets
         self.earliest: dict[bytes, tuple] = {}
         self.out: list[tuple] = []
 
@@ -345,24 +360,35 @@ class _Windows:
                         run[1] = first + i  # goes on where the run before it ends
                     else:
                         if run is not None:
-                            self.out.append((None, doc, digest, *run))
+                            self.out.append(_run(doc, digest, *run))
                         run = [first + i, first + i]
                 elif mine < known:
                     self.earliest[window] = mine
-                    self.out.append((None, *known, known[2]))
+                    self.out.append(_run(*known, known[2]))
             if run is not None:
-                self.out.append((None, doc, digest, *run))
+                self.out.append(_run(doc, digest, *run))
 
     def take(self, at_least: int = 0) -> Iterator[pa.RecordBatch]:
         if len(self.out) + len(self.earliest) > at_least:
-            self.out.extend((w, *place, place[2]) for w, place in self.earliest.items())
-            self.earliest.clear()
             for i in range(0, len(self.out), RECORDS_AT_ONCE):
                 yield _met(self.out[i : i + RECORDS_AT_ONCE])
             self.out.clear()
-
-
-def _compare_records(length: int, hot: int):
+            if self.earliest:
+                yield _met(list(self._dealt()))
+                self.earliest.clear()
+
+    def _dealt(self) -> Iterator[tuple]:
+        windows = np.frombuffer(b"".join(self.earliest), np.uint8).reshape(-1, self.length)
+        places = np.array(list(self.earliest.values()), "<i8")
+        bucket = (window_hashes(windows) % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = (np.flatnonzero(np.diff(bucket[order])) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(order)]):
+            rows = order[a:b]
+            yield int(bucket[rows[0]]), windows[rows].tobytes(), places[rows].tobytes(), None, None, None, None
+
+
+def _compare_records(length: int, hot: int, buckets: int):
     """Records sorted by their anchors' suffixes.
 
     Anchors inside the bucket are compared here, several at a time. The first and the last of a bucket
@@ -373,7 +399,7 @@ def _compare_records(length: int, hot: int):
         held: list[tuple] = []  # records of anchors that are whole
         own: list[tuple] = []  # records of the anchor that is being read
         gram, is_first, spilling = None, True, False
-        windows = _Windows(length)
+        windows = _Windows(length, buckets)
         for batch in batches:
             for record in zip(*(c.to_pylist() for c in batch.columns)):
                 here = record[0][record[1] : record[1] + GRAM]
@@ -385,7 +411,7 @@ def _compare_records(length: int, hot: int):
                     is_first = gram is None
                     gram, own, spilling = here, [], False
                     if len(held) >= RECORDS_AT_ONCE:
-                        yield _met([(None, *r) for r in repeated_windows(held, length)])
+                        yield _met([_run(*r) for r in repeated_windows(held, length)])
                         held = []
                 own.append(record)
                 if len(own) > hot:
@@ -394,23 +420,59 @@ def _compare_records(length: int, hot: int):
                     own = []
                     yield from windows.take(at_least=8 * RECORDS_AT_ONCE)
         windows.add(own)
-        yield _met([(None, *r) for r in repeated_windows(held, length)])
+        yield _met([_run(*r) for r in repeated_windows(held, length)])
         yield from windows.take()
 
     return run
 
 
-def _compare_windows(batches):
-    """Sorted windows: each that is equal to the one before, which stands earlier in the corpus."""
-    last, seen = None, None
-    for batch in batches:
-        out = []
-        for window, *place in zip(*(c.to_pylist() for c in batch.columns)):
-            if window == last and place != seen:
-                out.append((*place, place[2]))
-            last, seen = window, place
-        columns = list(zip(*out)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "digest", "first", "last"])
+def later_windows(windows: list[bytes], places: list[bytes], length: int) -> list[tuple]:
+    """(doc, digest, first) of each window that is equal to another that stands earlier in the corpus.
+
+    Only windows whose hash occurs twice are compared, and these by all of their bytes.
+    """
+    flat = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, length)
+    at = np.frombuffer(b"".join(places), "<i8").reshape(-1, 3)
+    hashes = window_hashes(flat)
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(order), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    earliest: dict[bytes, tuple] = {}
+    out = []
+    for i in order[twice].tolist():
+        mine, window = tuple(at[i].tolist()), flat[i].tobytes()
+        known = earliest.setdefault(window, mine)
+        if mine != known:
+            earliest[window] = min(mine, known)
+            out.append(max(mine, known))
+    return out
+
+
+def _compare_windows(length: int):
+    """Windows in the order of their buckets, one bucket at a time."""
+
+    def run(batches):
+        bucket, windows, places = None, [], []
+
+        def late() -> pa.RecordBatch:
+            rows = [(*place, place[2]) for place in later_windows(windows, places, length)]
+            columns = list(zip(*rows)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "digest", "first", "last"])
+
+        for batch in batches:
+            for mine, some, of in zip(*(c.to_pylist() for c in batch.columns)):
+                if mine != bucket and windows:
+                    yield late()
+                    windows, places = [], []
+                bucket = mine
+                windows.append(some)
+                places.append(of)
+        if windows:
+            yield late()
+
+    return run
 
 
 def covered(starts: np.ndarray, length: int) -> np.ndarray:
@@ -457,20 +519,20 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
 
     suffix = [F.expr(f"substring(bytes, before + 1, {GRAM})"), F.col("bytes")]
     ordered = records.filter("whole").select("bytes", "before", "doc", "digest", "first").repartitionByRange(n, *suffix)
-    met = stored(ordered.sortWithinPartitions(*suffix).mapInArrow(_compare_records(length, hot), MET), folder, "met")
+    met = stored(ordered.sortWithinPartitions(*suffix).mapInArrow(_compare_records(length, hot, n), MET), folder, "met")
     del ordered
     drop(spark, f"{folder}/records/whole=true")
     release(spark)
 
     names = ["doc", "digest", "first", "last"]
-    singles = met.filter(F.col("window").isNotNull()).select("window", "doc", "digest", "first").repartitionByRange(n, "window")
-    singles = singles.sortWithinPartitions("window", "doc", "digest", "first")
-    late = stored(singles.mapInArrow(_compare_windows, RUNS), folder, "late")
+    singles = met.filter(F.col("bucket").isNotNull()).select("bucket", "windows", "places")
+    singles = singles.repartitionByRange(n, "bucket").sortWithinPartitions("bucket")
+    late = stored(singles.mapInArrow(_compare_windows(length), RUNS), folder, "late")
     del singles
     release(spark)
 
     runs = records.filter(~F.col("whole")).select(*names)
-    every = runs.unionByName(met.filter(F.col("window").isNull()).select(*names)).unionByName(late)
+    every = runs.unionByName(met.filter(F.col("bucket").isNull()).select(*names)).unionByName(late)
     packed = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("first", "last")]))
     return every.groupBy("doc", "digest").agg(F.collect_list(packed).alias("runs"))
 
