@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import ship, text_of
+from .common import ship, stored, text_of, work_folder
 from .tokens import ids_of_all
 
 ship(__name__, tokens.__name__)
@@ -57,7 +57,9 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 512) -> Da
     misses = misses.join(known, "digest", "left_anti").select("digest", "bytes")
     counted = misses.mapInArrow(run, "digest binary, n_tokens long").withColumn("version", F.lit(version))
     counted.write.mode("append").parquet(cache)
+    # stored first: right after an aggregate, adaptive execution could not split the join at a hot digest
     counts = read_cache(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = stored(counts, work_folder(spark, "counted"), "counts")
     slim = keyed.select("doc_id", "digest", F.octet_length("bytes").cast("long").alias("n_bytes"))
     return slim.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
