@@ -55,6 +55,8 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
     """
     buckets = buckets_for(links.count(), least=16)
     sizes = links.filter(F.col("_group").isNotNull()).groupBy("_group").agg(F.count("*").alias("_size")).filter("_size > 1")
+    # stored first, as are votes: right after an aggregate, adaptive execution could not split the join at a hot group
+    sizes = stored(sizes, folder, "sizes")
     linked = links.join(sizes, "_group", "left").withColumn("_group", F.when(F.col("_size").isNotNull(), F.col("_group")))
     first = numbered(linked.select("_row", "_group"), [], _bucket(buckets), [F.col("_row")], "_n")
     state = first.select("_row", "_group", F.pmod("_n", F.lit(shards)).cast("int").alias("shard"))
@@ -70,7 +72,7 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
         votes = members.groupBy("_group").agg(
             F.array(*[F.count(F.when(F.col("shard") == s, 1)) for s in range(shards)]).alias("_votes")
         )
-        votes = votes.withColumn("_best", _best("_votes", F.lit(None), is_open))
+        votes = stored(votes, folder, f"votes{turn}").withColumn("_best", _best("_votes", F.lit(None), is_open))
         wishing = members.join(votes, "_group").select(
             "_row",
             "_group",
@@ -91,9 +93,8 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
         granted, returned = _grants(wishes, free)
         if not any(map(sum, granted)):
             break
-        pool = F.struct(F.col("_class").alias("class"), _bucket(buckets).alias("bucket"))
         # larger groups first: classes count down
-        pool = F.struct((-F.col("_class")).alias("class"), pool["bucket"].alias("bucket"))
+        pool = F.struct((-F.col("_class")).alias("class"), _bucket(buckets).alias("bucket"))
         of_pool = wishing.withColumn("_pool", F.when(F.col("_group").isNull(), -1).otherwise(F.col("_to")))
         moving = of_pool.filter(F.col("_pool").isNotNull())
         staying = of_pool.filter(F.col("_pool").isNull()).select("_row", "_group", "shard")
