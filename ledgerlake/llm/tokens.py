@@ -144,4 +144,5 @@ def encoder(path: str) -> Encoder:
 
 def ids_of_all(path: str, texts: Iterable[str | None]) -> Iterable[bytes]:
     encode = encoder(path).ids_of
+    gc.collect()  # what earlier batches and tasks of this worker left in cycles, their texts among them
     return (encode(t or "") for t in texts)
