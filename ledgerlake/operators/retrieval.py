@@ -1,28 +1,31 @@
 """Nearest chunks per question by cosine similarity, and what is built on them.
 
-``retrieve`` is exact and never forms all pairs of questions and chunks as rows. Each task scores
-its chunks against a block of questions as one matrix product and keeps the k best per question,
-so what is shuffled is at most k rows per question and task. A bounded set of questions goes to
-all tasks; a larger one is spread over a grid of question blocks and chunk blocks instead.
+Both ways are exact and never form all pairs of questions and chunks as rows. A task scores its
+chunks against a block of questions as one matrix product and keeps the k best per question, so
+what is shuffled is at most k rows per question and task. ``retrieve`` sends a bounded set of
+questions to all tasks and refuses a larger one; ``retrieve_grid`` spreads any number of questions
+over a grid of question blocks and chunk blocks. Python sees ids and vectors only; the columns to
+keep are joined to the k survivors afterwards.
 
 Scores are rounded to 12 decimals before ranking: equal texts then tie exactly, whatever the order
-their terms were summed in, and ties go to the smaller chunk id.
+their terms were summed in, and ties go to the smaller chunk id. A vector with a NaN never ranks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.columns import source_line
 from ..functions.vectors import cosine
-from ..workspace import collect_if_small, ship_code
+from ..workspace import collect_vectors, ship_code
 
 TOP_K = 3
 SCORE_DECIMALS = 12
@@ -31,13 +34,13 @@ MAX_QUESTIONS = 10_000
 MAX_QUESTION_BYTES = 64 << 20
 # Ranked rows that a task may hold for all its questions together.
 MAX_KEPT = 100_000
-# One cell of the grid: so many questions against so many chunks.
-GRID_QUESTIONS = 5_000
-GRID_CHUNKS = 20_000
+# Vectors and ids that one side of a grid cell may hold. Both sides alike, as then the least is copied.
+CELL_BYTES = 64 << 20
+ID_BYTES = 64
 # Groups that the finalists of one question are ranked in before the last ranking.
 FINAL_GROUPS = 64
 # Scores held at once while a task works through its chunks.
-SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 1_000_000
 # Labels and layout of the prompts.
 CONTEXT_BLOCK = "Fuente: %s :: %s\n%s"
 CONTEXT_CUE = "Contexto recuperado:\n"
@@ -50,12 +53,16 @@ def nearest(
 ) -> DataFrame:
     """The k chunks closest to one vector, which may also come from a scalar subquery.
 
-    A vector with a NaN never ranks.
+    A vector with a NaN never ranks, and one of another length is an error.
     """
     question = vector if isinstance(vector, Column) else F.array(*[F.lit(float(x)) for x in vector])
     score = F.round(cosine(col, "_question"), SCORE_DECIMALS)
-    scored = chunks.withColumn("_question", question).withColumn("score", score).drop("_question")
-    return scored.where(~F.isnan("score")).orderBy(F.desc("score"), "chunk_id").limit(k)
+    fits = F.size(col) == F.size("_question")
+    wrong = F.raise_error(F.lit("a vector is null or not as long as the question")).cast("double")
+    scored = chunks.withColumn("_question", question).withColumn(
+        "score", F.when(fits, score).otherwise(wrong)
+    )
+    return scored.drop("_question").where(~F.isnan("score")).orderBy(F.desc("score"), "chunk_id").limit(k)
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
@@ -78,13 +85,17 @@ def _scaled(matrix: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best rows per question of what it has been shown; one per task."""
+    """The k best chunks per question of what it has been shown; one per task.
+
+    Holds at most k rows per question, and of a block at most ``SCORES_AT_ONCE`` pairs as three
+    numbers each; ids are taken for the k of them that stay.
+    """
 
-    def __init__(self, questions: np.ndarray, k: int, chunk_id: str, vector: str):
+    def __init__(self, questions: np.ndarray, k: int, carried: Sequence[str], vector: str):
         self.raw = questions
         self.size = np.sqrt((questions * questions).sum(axis=1))
         self.questions = _scaled(questions)
-        self.k, self.chunk_id, self.vector = k, chunk_id, vector
+        self.k, self.carried, self.vector = k, list(carried), vector
         self.bar = np.full(len(questions), -np.inf)
         self.kept: pa.Table | None = None
 
@@ -94,9 +105,14 @@ class _Best:
             self._show_block(rows.slice(start, step))
 
     def _show_block(self, rows: pa.Table) -> None:
+        # In the order of ids, so that among equal scores the place in the block decides.
+        by_id = pc.sort_indices(
+            rows, sort_keys=[(self.carried[0], "ascending")], null_placement="at_start"
+        )
+        rows = rows.take(by_id)
         vectors = _matrix(rows.column(self.vector), self.questions.shape[1])
         rough = _scaled(vectors) @ self.questions.T
-        valid = ~np.isnan(rough)  # a vector with a NaN never ranks
+        valid = ~np.isnan(rough)
         rough[~valid] = -np.inf
         # The last digits of a matrix product depend on where a row stands in it. So it only
         # rules rows out, with a margin, and the rest are scored one by one.
@@ -105,9 +121,11 @@ class _Best:
         row, question = np.nonzero((rough >= np.maximum(cut, self.bar) - 1e-9) & valid)
         if len(row):
             score = self._scores(vectors, row, question)
-            found = rows.drop_columns([self.vector]).take(pa.array(row))
-            found = found.append_column("_question", pa.array(question, pa.int64()))
-            self._keep(found.append_column("score", pa.array(score, pa.float64())))
+            order = np.lexsort((row, -score, question))
+            best = order[_places(question[order]) < self.k]
+            found = rows.select(self.carried).take(pa.array(row[best]))
+            found = found.append_column("_question", pa.array(question[best], pa.int64()))
+            self._keep(found.append_column("score", pa.array(score[best], pa.float64())))
 
     def _scores(self, vectors: np.ndarray, row: np.ndarray, question: np.ndarray) -> np.ndarray:
         size = np.sqrt((vectors * vectors).sum(axis=1))
@@ -123,28 +141,47 @@ class _Best:
 
     def _keep(self, found: pa.Table) -> None:
         table = found if self.kept is None else pa.concat_tables([self.kept, found])
-        table = table.sort_by(
-            [("_question", "ascending"), ("score", "descending"), (self.chunk_id, "ascending")]
-        )
+        keys = [("_question", "ascending"), ("score", "descending"), (self.carried[0], "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start"))
         question = table.column("_question").to_numpy()
-        first = np.searchsorted(question, question, side="left")
-        place = np.arange(len(question)) - first
+        place = _places(question)
         self.kept = table.filter(pa.array(place < self.k)).combine_chunks()
         last = place == self.k - 1
         self.bar[question[last]] = table.column("score").to_numpy()[last]
 
+    def rows(self, ids: pa.Array, question_id: str) -> pa.Table | None:
+        if self.kept is None:
+            return None
+        labels = ids.take(self.kept.column("_question").combine_chunks())
+        labelled = self.kept.append_column(question_id, labels)
+        return labelled.select([question_id, *self.carried, "score"])
+
 
-def _partial_schema(
-    questions: DataFrame, question_id: str, chunks: DataFrame, chunk_id: str, keep: Sequence[str]
-) -> StructType:
-    fields = [StructField(question_id, questions.schema[question_id].dataType)]
-    fields += [StructField(c, chunks.schema[c].dataType) for c in (chunk_id, *keep)]
-    return StructType(fields + [StructField("score", DoubleType())])
+def _places(question: np.ndarray) -> np.ndarray:
+    """The place of each entry among the equal ones, in a sorted array."""
+    return np.arange(len(question)) - np.searchsorted(question, question, side="left")
 
 
-def _labelled(best: _Best, ids: pa.Array, names: Sequence[str], question_id: str) -> pa.Table:
-    labels = ids.take(best.kept.column("_question").combine_chunks())
-    return best.kept.append_column(question_id, labels).select(list(names))
+def _asked(questions: DataFrame, question_id: str, vector: str) -> DataFrame:
+    return questions.select(
+        question_id, F.col(vector).cast("array<double>").alias(vector)
+    ).distinct()
+
+
+def _offered(chunks: DataFrame, chunk_id: str, vector: str) -> DataFrame:
+    """Chunks as they are scored: id, vector, and a number that tells vectors of one id apart."""
+    return chunks.select(chunk_id, F.xxhash64(vector).alias("_vector_no"), vector)
+
+
+def _partial_schema(questions: DataFrame, question_id: str, offered: DataFrame, chunk_id: str):
+    return StructType(
+        [
+            StructField(question_id, questions.schema[question_id].dataType),
+            StructField(chunk_id, offered.schema[chunk_id].dataType),
+            StructField("_vector_no", LongType()),
+            StructField("score", DoubleType()),
+        ]
+    )
 
 
 def retrieve(
@@ -155,104 +192,87 @@ def retrieve(
     question_id: str = "question_id",
     chunk_id: str = "chunk_id",
     vector: str = "embedding",
-    max_questions: int = MAX_QUESTIONS,
 ) -> DataFrame:
     """The k chunks closest to each question: ``question_id, rank, chunk_id, score`` and ``keep``.
 
-    The vectors of a bounded set of questions are read once, here, to ship them to the tasks.
-    Chunks that share an id are ranked one by one, like any others.
+    For a bounded set of questions: their vectors are read here, once, to ship them to the tasks,
+    and more than ``MAX_QUESTIONS`` (or ``MAX_KEPT`` / k, or ``MAX_QUESTION_BYTES``) are an error;
+    ``retrieve_grid`` takes any number. Chunks that share an id are ranked one by one, like any others.
     """
-    asked = questions.select(
-        question_id, F.col(vector).cast("array<double>").alias(vector)
-    ).distinct()
-    offered = chunks.select(chunk_id, vector, *keep)
-    schema = _partial_schema(questions, question_id, chunks, chunk_id, keep)
-    max_questions = max(1, min(max_questions, MAX_KEPT // k))
-    few = collect_if_small(asked, max_questions, MAX_QUESTION_BYTES)
-    if few is not None:
-        partial = _against_all(few, offered, k, schema, question_id, chunk_id, vector)
-    else:
-        partial = _on_grid(asked, offered, k, schema, question_id, chunk_id, vector, max_questions)
-    # The finalists of a question grow with the number of tasks, so they are first cut down in
-    # groups of tasks; then a few per group meet in one place.
-    salted = partial.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(FINAL_GROUPS)))
-    cut_down = _ranked(salted, [question_id, "_group"], chunk_id, k)
-    return _ranked(cut_down, [question_id], chunk_id, k).select(
-        question_id, "rank", chunk_id, "score", *keep
-    )
-
-
-def _ranked(df: DataFrame, by: Sequence[str], chunk_id: str, k: int) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.desc("score"), chunk_id)
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def _against_all(
-    few: pa.Table,
-    chunks: DataFrame,
-    k: int,
-    schema: StructType,
-    question_id: str,
-    chunk_id: str,
-    vector: str,
-) -> DataFrame:
+    asked, offered = _asked(questions, question_id, vector), _offered(chunks, chunk_id, vector)
+    limit = max(1, min(MAX_QUESTIONS, MAX_KEPT // k))
+    few = collect_vectors(asked, vector, limit, MAX_QUESTION_BYTES)
+    if few is None:
+        raise ValueError(f"more than {limit} questions, or vectors too large: use retrieve_grid")
+    schema = _partial_schema(questions, question_id, offered, chunk_id)
     ids = few.column(question_id).combine_chunks()
-    asked = _matrix(few.column(vector))
-    names = schema.fieldNames()
+    vectors = _matrix(few.column(vector))
 
     def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(asked, k, chunk_id, vector)
+        best = _Best(vectors, k, [chunk_id, "_vector_no"], vector)
         for batch in batches:
-            if len(asked) and batch.num_rows:
+            if len(vectors) and batch.num_rows:
                 best.show(pa.Table.from_batches([batch]))
-        if best.kept is not None:
-            yield from _labelled(best, ids, names, question_id).to_batches()
+        found = best.rows(ids, question_id)
+        if found is not None:
+            yield from found.to_batches()
 
-    return chunks.mapInArrow(best_of_task, schema)
+    partial = offered.mapInArrow(best_of_task, schema)
+    return _finalists(partial, chunks, k, keep, question_id, chunk_id, vector)
 
 
-def _on_grid(
+def retrieve_grid(
     questions: DataFrame,
     chunks: DataFrame,
-    k: int,
-    schema: StructType,
-    question_id: str,
-    chunk_id: str,
-    vector: str,
-    max_questions: int,
+    k: int = TOP_K,
+    keep: Sequence[str] = (),
+    question_id: str = "question_id",
+    chunk_id: str = "chunk_id",
+    vector: str = "embedding",
+    cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
-    """Every question meets every chunk in exactly one cell, and no cell grows with the data.
+    """``retrieve`` for any number of questions.
 
-    Equal chunks are counted before they are spread: any number of copies is then one row of one
-    cell, and the ranked copies come back at the end.
+    Every question meets every chunk in exactly one cell, and no cell grows with the data: a block
+    of questions and a block of chunks take ``cell_bytes`` each, so that for a given size of cell the
+    fewest vectors are copied. Copies of one chunk are counted first: any number of them is one row.
     """
-    block = min(GRID_QUESTIONS, max_questions)
-    counted = chunks.groupBy(*chunks.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    n_blocks = max(1, math.ceil(questions.count() / block))
-    n_parts = max(1, math.ceil(chunks.count() / GRID_CHUNKS))
+    asked, offered = _asked(questions, question_id, vector), _offered(chunks, chunk_id, vector)
+    counted = offered.groupBy(*offered.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    schema = _partial_schema(questions, question_id, offered, chunk_id)
 
-    def cell(names: Sequence[str], n: int) -> Column:
-        return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int")
+    def blocks(df: DataFrame, rows_at_most: int) -> Column:
+        """How many blocks the rows need, as a scalar that is worked out with the query."""
+        n_bytes = F.sum(F.size(vector) * F.lit(8) + F.lit(ID_BYTES))
+        by_bytes, by_rows = n_bytes / cell_bytes, F.count(F.lit(1)) / rows_at_most
+        return df.agg(F.greatest(F.lit(1), F.ceil(by_bytes), F.ceil(by_rows)).cast("int")).scalar()
+
+    def cell(names: Sequence[str], n: Column) -> Column:
+        return F.pmod(F.xxhash64(*names), n.cast("bigint")).cast("int")
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    n_blocks = blocks(asked, max(1, MAX_KEPT // k))
+    n_parts = blocks(offered, SCORES_AT_ONCE)
+    left = counted.withColumn("_part", cell([chunk_id, "_vector_no"], n_parts))
+    left = left.withColumn("_block", every(n_blocks))
+    right = asked.withColumn("_block", cell([question_id, vector], n_blocks))
+    right = right.withColumn("_part", every(n_parts))
 
-    # All columns go into the cell, so that not even chunks of one id and vector gather in one.
-    left = counted.withColumn("_part", cell(chunks.columns, n_parts)).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    )
-    right = questions.withColumn("_block", cell([question_id, vector], n_blocks)).withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))
-    )
     with_copies = StructType([*schema.fields, StructField("_copies", LongType())])
-    names = with_copies.fieldNames()
+    empty = pa.table(
+        {f.name: pa.array([], f.type) for f in to_arrow_schema(with_copies)}
+    )
 
     def best_of_cell(rows: pa.Table, some: pa.Table) -> pa.Table:
-        found = None
-        if rows.num_rows and some.num_rows:
-            best = _Best(_matrix(some.column(vector)), k, chunk_id, vector)
-            best.show(rows.drop_columns(["_part", "_block"]))
-            found = _labelled(best, some.column(question_id).combine_chunks(), names, question_id)
-        return found if found is not None else empty
-
-    empty = chunks.sparkSession.createDataFrame([], with_copies).toArrow()
+        if not rows.num_rows or not some.num_rows:
+            return empty
+        best = _Best(_matrix(some.column(vector)), k, [chunk_id, "_vector_no", "_copies"], vector)
+        best.show(rows.drop_columns(["_part", "_block"]))
+        found = best.rows(some.column(question_id).combine_chunks(), question_id)
+        return empty if found is None else found.select(with_copies.fieldNames())
+
     partial = (
         left.groupBy("_part", "_block")
         .cogroup(right.groupBy("_part", "_block"))
@@ -260,7 +280,43 @@ def _on_grid(
     )
     # More than k copies of one chunk can never all be ranked.
     each = F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(k)).cast("int")))
-    return partial.withColumn("_copy", each).drop("_copies", "_copy")
+    partial = partial.withColumn("_copy", each).drop("_copies", "_copy")
+    return _finalists(partial, chunks, k, keep, question_id, chunk_id, vector)
+
+
+def _ranked(df: DataFrame, by: Sequence[str], k: int, *tie: str) -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), *tie)
+    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _finalists(
+    partial: DataFrame,
+    chunks: DataFrame,
+    k: int,
+    keep: Sequence[str],
+    question_id: str,
+    chunk_id: str,
+    vector: str,
+) -> DataFrame:
+    """The last ranking of what the tasks kept, and the columns to keep of the chunks it names.
+
+    The finalists of a question grow with the number of tasks, so they are first cut down in
+    groups of tasks; then a few per group meet in one place.
+    """
+    salted = partial.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(FINAL_GROUPS)))
+    tie = (chunk_id, "_vector_no")
+    cut_down = _ranked(salted, [question_id, "_group"], k, *tie).drop("_group", "rank")
+    ranked = _ranked(cut_down, [question_id], k, *tie)
+    if keep:
+        # The n-th rank of a chunk that has copies gets its n-th copy.
+        same = Window.partitionBy(question_id, *tie).orderBy("rank")
+        ranked = ranked.withColumn("_copy", F.row_number().over(same))
+        found = chunks.select(chunk_id, F.xxhash64(vector).alias("_vector_no"), *keep)
+        found = found.join(ranked.select(*tie).distinct(), list(tie), "left_semi")
+        copies = Window.partitionBy(*tie).orderBy(*keep)
+        found = found.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k)
+        ranked = ranked.join(found, [*tie, "_copy"])
+    return ranked.select(question_id, "rank", chunk_id, "score", *keep)
 
 
 def build_prompts(

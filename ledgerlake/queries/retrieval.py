@@ -18,6 +18,7 @@ from .corpus import CHUNKS, DIM, RUN_TS, hash_vectors_sql, markdown
 from .registry import query, table
 
 WIDTH = 64
+SHOWN = ["source_path", "section_title", "chunk_text"]
 
 # Instructions of the registered prompts.
 GROUNDED = "Answer from the context below, and say so where it does not hold the answer."
@@ -194,7 +195,20 @@ def benchmark_questions(spark: SparkSession, folder: str) -> DataFrame:
 def ranked_chunks(spark: SparkSession, folder: str) -> DataFrame:
     questions = hash_embed(benchmark_questions(spark, folder), "question", DIM)
     index = build_index(markdown(spark, folder), ts=RUN_TS)
-    return R.retrieve(questions, index, 3, ["source_path", "section_title", "chunk_text"])
+    return R.retrieve(questions, index, 3, SHOWN)
+
+
+@query(f"""
+WITH {RANKED_CHUNKS}
+SELECT question_id, rank::INTEGER AS rank, source_path, section_title, chunk_text,
+       round(score, 6) AS score
+FROM ranked""")
+def retrieve_grid(spark, folder):
+    """Every benchmark text against the whole chunk index, in small cells of the grid."""
+    questions = hash_embed(benchmark_questions(spark, folder), "question", DIM)
+    index = build_index(markdown(spark, folder), ts=RUN_TS)
+    found = R.retrieve_grid(questions, index, 3, SHOWN, cell_bytes=4 << 20)
+    return found.select("question_id", "rank", *SHOWN, F.round("score", 6).alias("score"))
 
 
 @query(f"""

@@ -8,6 +8,7 @@ import uuid
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -22,13 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/ledgerlake-{uuid.uuid4().hex}"
 
 
-def collect_if_small(df: DataFrame, max_rows: int, max_bytes: int) -> pa.Table | None:
-    """The rows of ``df`` on the driver, or None if there are more than the bound.
+def collect_vectors(df: DataFrame, vector: str, max_rows: int, max_bytes: int) -> pa.Table | None:
+    """The rows of ``df`` on the driver, or None if there are more, or longer vectors, than the bound.
 
-    ``limit`` keeps the transfer itself bounded, so asking about a huge frame is cheap.
+    Rows are counted and measured first, so that nothing beyond the bound is ever sent.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    return rows if rows.num_rows <= max_rows and rows.nbytes <= max_bytes else None
+    some = df.limit(max_rows + 1)
+    n, width = some.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
+    return df.limit(max_rows).toArrow() if n <= max_rows and n * width * 8 <= max_bytes else None
 
 
 def ship_code(module_name: str) -> None:

@@ -86,6 +86,10 @@ def test_retrieval_ranks_on_the_map_side(spark):
     plan = plan_of(QUERIES["retrieve_top3"](spark, FOLDER))
     mapped = plan[plan.index("MapInArrow") - 2000 : plan.index("MapInArrow")]
     assert "WindowGroupLimit" in mapped and "Partial" in mapped
+    for name in ("grounded_prompts", "retrieve_grid"):
+        plan = plan_of(QUERIES[name](spark, FOLDER))
+        for node in re.findall(r"(?:MapInArrow best_of_task|FlatMapCoGroupsInArrow)[^\n]*", plan):
+            assert "chunk_text" not in node and "embedding" in node
     plan = plan_of(QUERIES["retrieve_one"](spark, FOLDER))
     assert "TakeOrderedAndProject" in plan
     plan = plan_of(QUERIES["top_department_countries"](spark, FOLDER))

@@ -47,10 +47,12 @@ def frames(spark, data):
 @pytest.mark.parametrize("k", [1, 3, 25])
 @pytest.mark.parametrize("grid", [False, True])
 def test_retrieve(spark, data, monkeypatch, k, grid):
-    monkeypatch.setattr(R, "GRID_CHUNKS", 50)
     monkeypatch.setattr(R, "SCORES_AT_ONCE", 700)
     questions, chunks = frames(spark, data)
-    found = R.retrieve(questions, chunks, k, ["text"], max_questions=10 if grid else 1000)
+    if grid:
+        found = R.retrieve_grid(questions, chunks, k, ["text"], cell_bytes=2000)
+    else:
+        found = R.retrieve(questions, chunks, k, ["text"])
     rows = sorted(found.collect(), key=lambda r: (r["question_id"], r["rank"]))
     wanted = brute_force(*data, k)
     for qid, best in wanted.items():
@@ -61,6 +63,53 @@ def test_retrieve(spark, data, monkeypatch, k, grid):
         assert all(r["text"] == f"text of {r['chunk_id']}" for r in mine)
 
 
+@pytest.mark.parametrize("grid", [False, True])
+def test_nan_never_ranks(spark, grid):
+    nan, schema = float("nan"), "chunk_id STRING, embedding ARRAY<FLOAT>"
+    rows = [("a", [1.0, 0.0]), ("b", [nan, 1.0]), ("c", [0.0, 1.0]), ("d", [nan, nan]), ("e", [1.0, 1.0])]
+    chunks = spark.createDataFrame(rows, schema).coalesce(1)
+    questions = spark.createDataFrame([(1, [1.0, 0.0])], "question_id INT, embedding ARRAY<DOUBLE>")
+    find = R.retrieve_grid if grid else R.retrieve
+    for k, wanted in ((2, ["a", "e"]), (5, ["a", "e", "c"])):
+        assert [r["chunk_id"] for r in find(questions, chunks, k).orderBy("rank").collect()] == wanted
+        assert [r["chunk_id"] for r in R.nearest(chunks, [1.0, 0.0], k).collect()] == wanted
+
+
+@pytest.mark.parametrize("grid", [False, True])
+def test_very_many_equal_chunks_and_questions(spark, grid):
+    """Long texts and 20,000 ties for each of 2,400 questions: only ids and vectors are at work."""
+    chunks = spark.range(20_000).select(
+        F.format_string("c%06d", "id").alias("chunk_id"),
+        F.expr("array(1.0f, cast(id % 2 as float), 0.0f)").alias("embedding"),
+        F.repeat(F.lit("long "), 400).alias("text"),
+    )
+    questions = spark.range(2400).select(
+        F.col("id").alias("question_id"), F.expr("array(1.0d, 1.0d, id + 1.0d)").alias("embedding")
+    )
+    rows = (R.retrieve_grid if grid else R.retrieve)(questions, chunks, 3, ["text"]).collect()
+    assert len(rows) == 7200
+    assert {(r["rank"], r["chunk_id"], len(r["text"])) for r in rows} == {
+        (1, "c000001", 2000), (2, "c000003", 2000), (3, "c000005", 2000)
+    }
+
+
+def test_too_many_questions_are_refused(spark, data, monkeypatch):
+    monkeypatch.setattr(R, "MAX_QUESTIONS", 10)
+    with pytest.raises(ValueError, match="retrieve_grid"):
+        R.retrieve(*frames(spark, data), 3)
+
+
+def test_copies_with_other_columns_keep_them_all(spark):
+    rows = [("a", [1.0], t) for t in "xyz"] + [("a", [-1.0], "far"), ("b", [1.0], "w")]
+    chunks = spark.createDataFrame(rows, "chunk_id STRING, embedding ARRAY<FLOAT>, text STRING")
+    questions = spark.createDataFrame([(1, [2.0])], "question_id INT, embedding ARRAY<DOUBLE>")
+    for find in (R.retrieve, R.retrieve_grid):
+        found = find(questions, chunks, 5, ["text"]).orderBy("rank").collect()
+        assert [(r["chunk_id"], r["text"]) for r in found] == [
+            ("a", "x"), ("a", "y"), ("a", "z"), ("b", "w"), ("a", "far")
+        ]
+
+
 def test_fewer_chunks_than_k(spark, data):
     questions, chunks = frames(spark, (data[0], data[1][:2]))
     assert R.retrieve(questions, chunks, 5).count() == 2 * len(data[0])
@@ -79,6 +128,8 @@ def test_vectors_must_fit(spark, data):
 
 def test_nearest(spark, data):
     _, chunks = frames(spark, data)
+    with pytest.raises(Exception, match="not as long as the question"):
+        R.nearest(chunks, [1.0, 2.0], 4).collect()
     for qid in (7, 101, 102):
         vector = dict(data[0])[qid]
         rows = R.nearest(chunks, vector, 4).collect()

@@ -158,9 +158,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 
 def test_collects_stay_within_their_bound(spark):
-    assert workspace.collect_if_small(spark.range(10), 10, 1000).num_rows == 10
-    assert workspace.collect_if_small(spark.range(11), 10, 1000) is None
-    assert workspace.collect_if_small(spark.range(10), 10, 10) is None
+    def rows(n):
+        return spark.range(n).selectExpr("array(id, id) AS v")
+
+    assert workspace.collect_vectors(rows(10), "v", 10, 1000).num_rows == 10
+    assert workspace.collect_vectors(rows(11), "v", 10, 1000) is None
+    assert workspace.collect_vectors(rows(10), "v", 10, 100) is None
 
 
 def test_csv_keeps_quotes_commas_and_line_ends(spark, tmp_path):
