@@ -27,9 +27,6 @@ BRANCH, VERSION, TS, OP, MESSAGE = "_branch", "_version", "_ts", "_op", "_messag
 META = (BRANCH, VERSION, TS, OP, MESSAGE)
 MAIN = "main"
 
-# Keys of a small change are sent to every task, so that only their rows are shuffled.
-
-
 @dataclass(frozen=True)
 class Commit:
     """The version, time and message that a set of change rows is committed under."""
@@ -41,10 +38,15 @@ class Commit:
 
 @dataclass(frozen=True)
 class Merge:
-    """Change rows to append to the log, and the keys both sides changed differently."""
+    """Change rows to append to the log, the keys both sides changed differently, and the merge point.
+
+    ``point`` is one row ``source, target, source_version, version`` for the table of merges; append
+    it when the change rows are committed.
+    """
 
     changes: DataFrame
     conflicts: DataFrame
+    point: DataFrame
 
 
 def data_columns(log: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -58,10 +60,17 @@ def _required(df: DataFrame, value: Column, problem: str) -> Column:
     return found.select(F.coalesce("value", failed)).scalar()
 
 
-def _need_version(seen: DataFrame, version: int) -> None:
+def _holds(df: DataFrame, condition: Column, problem: str) -> Column:
+    """A scalar that is true; the query fails with ``problem`` if an aggregate of ``df`` is not."""
+    failed = F.raise_error(F.lit(problem)).cast("boolean")
+    found = df.agg(F.coalesce(condition, F.lit(False)).alias("holds"))
+    return found.select(F.when(F.col("holds"), F.lit(True)).otherwise(failed)).scalar()
+
+
+def _has_version(seen: DataFrame, version: int) -> Column:
     """Refuse a version that is not there. Reads no more than its partition of the log."""
-    if seen.where(F.col(VERSION) == version).isEmpty():
-        raise ValueError(f"unknown version {version}")
+    rows = seen.where(F.col(VERSION) == version)
+    return _holds(rows, F.count(F.lit(1)) > 0, f"unknown version {version}")
 
 
 def fork_version(forks: DataFrame, branch: str) -> Column:
@@ -97,25 +106,25 @@ def _latest(log: DataFrame, keys: Sequence[str], columns: Sequence[str] | None)
 # Reads
 
 
-def snapshots(log: DataFrame, branch: str = MAIN, forks: DataFrame | None = None) -> DataFrame:
-    """One row per version seen from the branch, oldest first, with what it changed."""
+def commits_of(log: DataFrame) -> DataFrame:
+    """One row per commit, with what it changed; a few narrow columns, in one hash aggregate."""
 
     def changed(op: str) -> Column:
         return F.count_if(F.col(OP) == op)
 
-    return (
-        _seen(log, branch, forks)
-        .groupBy(VERSION, TS)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows_changed"),
-            changed("I").alias("n_inserted"),
-            changed("U").alias("n_updated"),
-            changed("D").alias("n_deleted"),
-        )
-        .orderBy(VERSION)
+    return log.groupBy(BRANCH, VERSION, TS, MESSAGE).agg(
+        F.count(F.lit(1)).alias("n_rows_changed"),
+        changed("I").alias("n_inserted"),
+        changed("U").alias("n_updated"),
+        changed("D").alias("n_deleted"),
     )
 
 
+def snapshots(log: DataFrame, branch: str = MAIN, forks: DataFrame | None = None) -> DataFrame:
+    """One row per version seen from the branch, oldest first, with what it changed."""
+    return commits_of(_seen(log, branch, forks)).drop(BRANCH, MESSAGE).orderBy(VERSION)
+
+
 def read_branch(
     log: DataFrame,
     keys: Sequence[str],
@@ -174,28 +183,21 @@ def as_of_time(
 def branch_heads(log: DataFrame, forks: DataFrame) -> DataFrame:
     """Each branch with its latest version: its own, or the one it was forked at."""
     heads = log.groupBy(F.col(BRANCH).alias("branch")).agg(F.max(VERSION).alias("own"))
-    forked = forks.join(heads, "branch", "left").select(
-        "branch", F.coalesce("own", "fork_version").alias("head_version")
+    main = forks.sparkSession.sql(f"SELECT '{MAIN}' AS branch, CAST(NULL AS BIGINT) AS fork_version")
+    return (
+        forks.unionByName(main)
+        .join(heads, "branch", "left")
+        .select("branch", F.coalesce("own", "fork_version").alias("head_version"))
+        .where("head_version IS NOT NULL")
     )
-    main = heads.where(F.col("branch") == MAIN).select("branch", F.col("own").alias("head_version"))
-    return main.unionByName(forked)
 
 
 def commit_log(
     log: DataFrame, branch: str = MAIN, forks: DataFrame | None = None, n: int = 3
 ) -> DataFrame:
     """The last ``n`` commits seen from a branch, newest first."""
-    return (
-        _seen(log, branch, forks)
-        .groupBy(VERSION)
-        .agg(
-            F.max(MESSAGE).alias(MESSAGE),
-            F.max(TS).alias(TS),
-            F.count(F.lit(1)).alias("n_rows_changed"),
-        )
-        .orderBy(F.desc(VERSION))
-        .limit(n)
-    )
+    commits = commits_of(_seen(log, branch, forks))
+    return commits.select(VERSION, MESSAGE, TS, "n_rows_changed").orderBy(F.desc(VERSION)).limit(n)
 
 
 # Branches
@@ -236,9 +238,12 @@ def _states(
     columns: Sequence[str],
     sides: Mapping[str, Column],
     touched: Column,
+    once: Column | None = None,
 ) -> DataFrame:
     """Per touched key, the latest row under each side's condition, in one aggregate.
 
+    More than one row of a key under ``once`` fails the query.
+
     A side is a struct of the data columns, null where the key is not alive. A fold also gives
     ``sides``' rows for deleted keys as null, so "alive" is simply "not null".
     """
@@ -247,10 +252,12 @@ def _states(
         VERSION,
         F.struct(OP, *columns).alias("row"),
         touched.alias("touched"),
+        (F.lit(False) if once is None else once).alias("once"),
         *[F.when(cond, F.col(VERSION)).alias(f"at_{side}") for side, cond in sides.items()],
     )
     folded = marked.groupBy(*keys).agg(
         F.bool_or("touched").alias("touched"),
+        F.count_if("once").alias("times"),
         *[F.max_by("row", f"at_{side}").alias(side) for side in sides],
     )
 
@@ -260,6 +267,9 @@ def _states(
             row.isNotNull() & (row[OP] != "D"), F.struct(*[row[c].alias(c) for c in columns])
         ).alias(side)
 
+    if once is not None:
+        twice = F.raise_error(F.lit("a key has more than one row")).cast("boolean")
+        folded = folded.where(F.when(F.col("times") > 1, twice).otherwise(F.lit(True)))
     return folded.where("touched").select(*keys, *[alive(side) for side in sides])
 
 
@@ -292,9 +302,14 @@ def _change_rows(
 
 
 def _committed(rows: DataFrame, log: DataFrame, branch: str, commit: Commit) -> DataFrame:
-    """Rows that already have ``_op``, with the other log columns, in the order of the log."""
+    """Rows that already have ``_op``, with the other log columns, in the order of the log.
+
+    A version that is not above all versions of the log fails the query: reads would not see it.
+    """
+    newest = F.coalesce(F.max(VERSION), F.lit(commit.version - 1)) < commit.version
+    stale = f"version {commit.version} is not above the latest version of the log"
     return (
-        rows.withColumns(
+        rows.where(_holds(log, newest, stale)).withColumns(
             {
                 BRANCH: F.lit(branch),
                 VERSION: F.lit(commit.version).cast("bigint"),
@@ -319,11 +334,10 @@ def diff_versions(
     wanted = data_columns(log, keys) if columns is None else list(columns)
     low, high = min(old, new), max(old, new)
     seen = _seen(log, branch, forks).where(F.col(VERSION) <= high)
-    _need_version(seen, old)
-    _need_version(seen, new)
+    known = _has_version(seen, old) & _has_version(seen, new)
     touched = F.col(VERSION) > low
     states = _states(
-        _only_keys(seen, keys, seen.where(touched)),
+        _only_keys(seen, keys, seen.where(touched)).where(known),
         keys,
         wanted,
         {"old": F.col(VERSION) <= old, "new": F.col(VERSION) <= new},
@@ -356,6 +370,29 @@ def compare_branches(
     return left.join(right, list(keys), "inner").where(~reduce(Column.__and__, equal))
 
 
+def compare_branches_of(
+    log: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    branches: tuple[str, str],
+    forks: DataFrame | None = None,
+) -> DataFrame:
+    """``compare_branches`` of two branches of one log, in one scan and one aggregate."""
+    a, b = branches
+    states = _states(
+        log.where(visible(a, forks) | visible(b, forks)),
+        keys,
+        columns,
+        {"a": visible(a, forks), "b": visible(b, forks)},
+        F.lit(True),
+    )
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    return states.where(both & ~_same("a", "b", columns)).select(
+        *keys,
+        *[F.col(side)[c].alias(f"{c}_{name}") for side, name in zip("ab", branches) for c in columns],
+    )
+
+
 # Writing change rows
 
 
@@ -402,7 +439,7 @@ def replace_on_branch(
     """Change rows that make the branch hold exactly ``table`` (create or replace).
 
     The new rows join the aggregate of the log as one more version, so keys that went away,
-    came in or changed are found in the same pass. ``table`` must have one row per key.
+    came in or changed are found in the same pass. Two rows of one key in ``table`` fail the query.
     """
     columns = data_columns(log, keys)
     current = _seen(log, branch, forks).select(
@@ -421,6 +458,7 @@ def replace_on_branch(
         columns,
         {"before": ~F.col("is_new"), "after": F.col("is_new")},
         F.lit(True),
+        once=F.col("is_new"),
     )
     return _change_rows(log, states, keys, columns, "before", "after", branch, commit)
 
@@ -436,10 +474,9 @@ def rollback_rows(
     """Change rows that bring the branch back to an earlier version, as a new commit."""
     columns = data_columns(log, keys)
     seen = _seen(log, branch, forks)
-    _need_version(seen, version)
     touched = F.col(VERSION) > version
     states = _states(
-        _only_keys(seen, keys, seen.where(touched)),
+        _only_keys(seen, keys, seen.where(touched)).where(_has_version(seen, version)),
         keys,
         columns,
         {"now": F.lit(True), "then": F.col(VERSION) <= version},
@@ -458,12 +495,14 @@ def merge_branch(
     expected_head: int | None = None,
     on_conflict: str = "fail",
     merged_upto: int | None = None,
+    merges: DataFrame | None = None,
 ) -> Merge:
     """Apply to ``target`` what ``source`` changed since their common ancestor.
 
-    The ancestor is ``main`` at the older of the two forks, or, after an earlier merge of the same
-    two branches, the source at ``merged_upto``, the source version that merge took in. The source
-    stays as it is. With ``expected_head`` the merge is refused if the target has moved past it.
+    The ancestor is ``main`` at the older of the two forks. After an earlier merge of the two branches,
+    in either direction, it is what that merge took in: its source at its ``source_version``, found in
+    the table ``merges`` of merge points. ``merged_upto`` names the source's version without that table.
+    The source stays as it is. With ``expected_head`` the merge is refused if the target has moved past it.
 
     Rows are merged one by one, which is finer than merging whole tables. A key is a conflict if
     both sides changed it since the ancestor and ended up different; the same change on both sides
@@ -472,37 +511,41 @@ def merge_branch(
     if on_conflict not in ("fail", "source", "target"):
         raise ValueError(f"on_conflict is {on_conflict!r}, not fail, source or target")
     columns = data_columns(log, keys)
+    forked = [fork_version(forks, b) for b in (source, target) if b != MAIN]
+    ancestor = F.least(*forked) if len(forked) > 1 else forked[0]
+    in_source, in_target = F.col("in_source"), F.col("in_target")
+    base, touched = in_source & (F.col(VERSION) <= ancestor), in_source & (F.col(VERSION) > ancestor)
     if merged_upto is not None:
-        ancestor = F.lit(merged_upto).cast("bigint")
-    else:
-        forked = [fork_version(forks, b) for b in (source, target) if b != MAIN]
-        ancestor = F.least(*forked) if len(forked) > 1 else forked[0]
-
-    marked = log.where(F.col(BRANCH).isin(MAIN, source, target)).select(
+        upto = F.lit(merged_upto).cast("bigint")
+        base, touched = in_source & (F.col(VERSION) <= upto), in_source & (F.col(VERSION) > upto)
+    elif merges is not None:
+        between = merges.where(F.col("source").isin(source, target) & F.col("target").isin(source, target))
+        took = F.max_by(F.struct("source", "source_version"), "version").alias("took")
+        # An aggregate gives a row, with a null, where the branches were never merged.
+        last = between.agg(took).scalar()
+        upto, forward = F.col(VERSION) <= last["source_version"], last["source"] == source
+        base = F.when(last.isNull(), base).when(forward, in_source & upto).otherwise(in_target & upto)
+        touched = F.when(last.isNotNull() & forward, in_source & ~upto).otherwise(touched)
+
+    seen = log.where(F.col(BRANCH).isin(MAIN, source, target))
+    if expected_head is not None:
+        moved = f"{target} is not at version {expected_head}"
+        head = F.max(VERSION) == expected_head
+        seen = seen.where(_holds(_seen(log, target, forks), head, moved))
+    marked = seen.select(
         *keys,
         *columns,
         OP,
         VERSION,
         visible(source, forks).alias("in_source"),
         visible(target, forks).alias("in_target"),
-        (F.col(VERSION) <= ancestor).alias("is_old"),
-    )
-    if expected_head is not None:
-        head = _seen(log, target, forks).agg(F.max(VERSION)).first()[0]
-        if head != expected_head:
-            raise ValueError(f"{target} is not at version {expected_head} but at {head}")
-
-    touched = F.col("in_source") & ~F.col("is_old")
+    ).select("*", F.coalesce(base, F.lit(False)).alias("is_base"), touched.alias("is_touched"))
     states = _states(
-        _only_keys(marked, keys, marked.where(touched)),
+        _only_keys(marked, keys, marked.where("is_touched")),
         keys,
         columns,
-        {
-            "base": F.col("in_source") & F.col("is_old"),
-            "source": F.col("in_source"),
-            "target": F.col("in_target"),
-        },
-        touched,
+        {"base": F.col("is_base"), "source": in_source, "target": in_target},
+        F.col("is_touched"),
     )
     is_changed = ~_same("base", "source", columns) & ~_same("source", "target", columns)
     is_conflict = is_changed & ~_same("base", "target", columns)
@@ -526,4 +569,10 @@ def merge_branch(
         *[F.col(s)[c].alias(f"{s}_{c}") for s in ("base", "source", "target") for c in columns],
     )
     rows = _change_rows(log, applied, keys, columns, "target", "source", target, commit)
-    return Merge(rows, conflicts)
+    point = _seen(log, source, forks).agg(
+        F.lit(source).alias("source"),
+        F.lit(target).alias("target"),
+        F.max(VERSION).alias("source_version"),
+        F.lit(commit.version).cast("bigint").alias("version"),
+    )
+    return Merge(rows, conflicts, point)

@@ -6,7 +6,7 @@ The steps are row-wise, so none of them shuffles, and they take streaming frames
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,6 +117,8 @@ def etl_on_branch(
     merge_commit: Commit,
     min_rows: int = 1,
     on_conflict: str = "fail",
+    expected_head: int | None = None,
+    merges: DataFrame | None = None,
     store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> BranchRun:
     """Bring silver up to date on a branch, check it there, and merge it into ``main``.
@@ -124,6 +126,7 @@ def etl_on_branch(
     Reads bronze as the branch sees it, makes the branch's silver equal to ``transform`` of it, and
     checks that state. The merge fails the query if a check does not pass. ``store`` may write the
     change rows and return the stored ones, so that checks and merge do not work them out again.
+    To run again on the same branch, hand over ``merges``, the merge points of the runs before.
     """
     silver = transform(read_branch(bronze_log, keys, branch, forks))
     changes = replace_on_branch(silver_log, keys, silver, branch, forks, commit)
@@ -137,5 +140,7 @@ def etl_on_branch(
     passed = checks.agg(F.bool_and("passed").alias("ok")).select(
         F.when(F.col("ok"), F.lit(True)).otherwise(failed)
     )
-    merge = merge_branch(log, keys, branch, MAIN, forks, merge_commit, on_conflict=on_conflict)
-    return BranchRun(changes, checks, Merge(merge.changes.where(passed.scalar()), merge.conflicts))
+    merge = merge_branch(
+        log, keys, branch, MAIN, forks, merge_commit, expected_head, on_conflict, merges=merges
+    )
+    return BranchRun(changes, checks, replace(merge, changes=merge.changes.where(passed.scalar())))

@@ -175,13 +175,7 @@ WHERE a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
    OR a.o_totalprice IS DISTINCT FROM b.o_totalprice""")
 def compare_branches(spark, folder):
     log, compared = orders_log(spark, folder), ["o_orderstatus", "o_totalprice"]
-    return L.compare_branches(
-        L.read_branch(log, KEY, "main", columns=compared),
-        L.read_branch(log, KEY, "dev", forks(spark), columns=compared),
-        KEY,
-        compared,
-        ("main", "dev"),
-    )
+    return L.compare_branches_of(log, KEY, compared, ("main", "dev"), forks(spark))
 
 
 @query(f"""
@@ -291,6 +285,30 @@ def merge_conflicts(spark, folder):
     ).conflicts
 
 
+@query(
+    merge_sql(
+        ON_MAIN,
+        f""", merged AS ({merged_rows("main")}),
+after AS ({state(ON_MAIN).replace("FROM log", "FROM (SELECT * FROM log UNION ALL SELECT * FROM merged)")})
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+       {", ".join(f"CASE WHEN a.o_orderkey IS NULL THEN b.{c} ELSE a.{c} END AS {c}" for c in COLUMNS)},
+       'dev' AS _branch, 8::BIGINT AS _version, TIMESTAMP '{COMMIT_TS}' AS _ts,
+       CASE WHEN a.o_orderkey IS NULL THEN 'D' WHEN b.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS _op,
+       'merge back' AS _message
+FROM after a FULL JOIN source b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL
+   OR {" OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in COLUMNS)}""",
+    )
+)
+def merge_again(spark, folder):
+    """``dev`` into ``main``, then ``main`` back into ``dev``, which had stayed as it was merged."""
+    log, forked = orders_log(spark, folder), forks(spark)
+    first = L.merge_branch(log, KEY, "dev", "main", forked, MERGE, 5, "source")
+    back = L.Commit(8, COMMIT_TS, "merge back")
+    after = log.unionByName(written(first.changes))
+    return L.merge_branch(after, KEY, "main", "dev", forked, back, 6, merges=first.point).changes
+
+
 @query(f"WITH {LOG} {state(ON_MAIN + ' AND _version <= 1')}")
 def rollback(spark, folder):
     """After the rollback is committed, ``main`` reads as it did at version 1."""
@@ -299,29 +317,49 @@ def rollback(spark, folder):
     return L.read_branch(log.unionByName(rows), KEY)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Change rows as a job commits them: stored, so that what reads them does not derive them again."""
+    shared = shared_folder(df.sparkSession)
+    df.write.partitionBy(L.BRANCH, L.VERSION).parquet(shared)
+    return df.sparkSession.read.schema(df.schema).parquet(shared)
+
+
+def to_silver(df: DataFrame) -> DataFrame:
+    return df.withColumn("status_upper", F.upper("o_orderstatus"))
+
+
+def run_etl(log, silver_log, transform, version, head, merges=None) -> medallion.BranchRun:
+    """One ETL run on ``dev`` that stores its change rows, under ``version`` and the next."""
+    etl, merge = L.Commit(version, COMMIT_TS, "etl"), L.Commit(version + 1, COMMIT_TS, "merge")
+    return medallion.etl_on_branch(
+        log, silver_log, KEY, "dev", forks(log.sparkSession), transform, etl, merge,
+        expected_head=head, merges=merges, store=written,
+    )
+
+
+def first_silver(log: DataFrame) -> DataFrame:
+    return to_silver(log.where((F.col(L.BRANCH) == L.MAIN) & (F.col(L.VERSION) <= 2)))
+
+
 @query(f"WITH {LOG} SELECT *, upper(o_orderstatus) AS status_upper FROM ({state(ON_DEV)})")
 def etl_on_branch(spark, folder):
     """Silver is rebuilt on ``dev``, checked and merged; ``main`` then equals the branch."""
-    log, shared = orders_log(spark, folder), shared_folder(spark)
+    log = orders_log(spark, folder)
+    silver_log = first_silver(log)
+    run = run_etl(log, silver_log, to_silver, 7, 2)
+    return L.read_branch(silver_log.unionByName(run.changes).unionByName(run.merge.changes), KEY)
 
-    def to_silver(df: DataFrame) -> DataFrame:
-        return df.withColumn("status_upper", F.upper("o_orderstatus"))
 
-    def written(df: DataFrame) -> DataFrame:
-        df.write.partitionBy(L.BRANCH, L.VERSION).parquet(shared)
-        return spark.read.schema(df.schema).parquet(shared)
+@query(f"WITH {LOG} SELECT *, upper(o_orderstatus) || ' AGAIN' AS status_upper FROM ({state(ON_DEV)})")
+def etl_twice(spark, folder):
+    """A second run on the same branch, with another transformation, merges on top of the first."""
 
-    silver_log = to_silver(log.where((F.col(L.BRANCH) == L.MAIN) & (F.col(L.VERSION) <= 2)))
-    run = medallion.etl_on_branch(
-        log,
-        silver_log,
-        KEY,
-        "dev",
-        forks(spark),
-        to_silver,
-        L.Commit(7, COMMIT_TS, "etl"),
-        L.Commit(8, COMMIT_TS, "merge"),
-        store=written,
-    )
-    final = silver_log.unionByName(run.changes).unionByName(run.merge.changes)
-    return L.read_branch(final, KEY)
+    def again(df: DataFrame) -> DataFrame:
+        return df.withColumn("status_upper", F.concat(F.upper("o_orderstatus"), F.lit(" AGAIN")))
+
+    log = orders_log(spark, folder)
+    silver_log = first_silver(log)
+    run = run_etl(log, silver_log, to_silver, 7, 2)
+    silver_log = silver_log.unionByName(run.changes).unionByName(written(run.merge.changes))
+    run = run_etl(log, silver_log, again, 9, 8, run.merge.point)
+    return L.read_branch(silver_log.unionByName(run.changes).unionByName(run.merge.changes), KEY)

@@ -164,15 +164,59 @@ def test_replace(spark, history, forks):
     assert 2 not in [r["id"] for r in rows.collect()]
 
 
-def test_a_diff_only_checks_its_versions_while_it_is_built(spark, history):
+def test_no_job_runs_while_a_change_is_built(spark, history, forks):
     log = history.log(spark)
     old, new = history.versions("main")[0], history.versions("main")[-1]
-    group = f"diff {id(history)}"
+    group = f"built {id(history)}"
     spark.sparkContext.setJobGroup(group, group)
     L.diff_versions(log, KEY, old, new)
+    L.rollback_rows(log, KEY, old, L.Commit(999, "2024-06-01"))
+    L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(999, "2024-06-01"), new)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    # Whether a version is there takes one job, or two where the first partition is empty.
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 4
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+
+
+def test_stale_commits_and_repeated_keys_are_refused(spark, people_log):
+    forks = spark.createDataFrame([("dev", 2)], "branch STRING, fork_version BIGINT")
+    stale = L.Commit(2, "2024-02-01")
+    dev = L.update_on_branch(
+        people_log, KEY, "dev", forks, "id = 1", {"name": F.lit("x")}, L.Commit(3, "2024-02-01")
+    )
+    log = people_log.unionByName(dev)
+    for rows in (
+        L.update_on_branch(log, KEY, "main", None, "id = 1", {"name": F.lit("x")}, stale),
+        L.delete_on_branch(log, KEY, "main", None, "id = 1", stale),
+        L.rollback_rows(log, KEY, 1, stale),
+        L.merge_branch(log, KEY, "dev", "main", forks, stale).changes,
+        L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(3, "2024-02-01")).changes,
+    ):
+        with pytest.raises(Exception, match="is not above the latest version"):
+            rows.collect()
+    table = L.read_branch(log, KEY)
+    with pytest.raises(Exception, match="more than one row"):
+        L.replace_on_branch(log, KEY, table.unionByName(table.limit(1)), "main", None, L.Commit(9, "2024-02-01")).collect()
+
+
+def test_merge_points_serve_both_directions(spark, people_log):
+    forks = spark.createDataFrame([("dev", 2)], "branch STRING, fork_version BIGINT")
+
+    def rename(log, version, branch, key, name):
+        commit = L.Commit(version, "2024-02-01")
+        rows = L.update_on_branch(log, KEY, branch, forks, f"id = {key}", {"name": F.lit(name)}, commit)
+        return stored(log.unionByName(rows))
+
+    log = rename(rename(people_log, 3, "main", 5, "main five"), 4, "dev", 1, "dev one")
+    merge = L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(5, "2024-02-02"), 3)
+    assert [tuple(r) for r in merge.point.collect()] == [("dev", "main", 4, 5)]
+    log, merges = stored(log.unionByName(merge.changes)), stored(merge.point)
+    log = rename(log, 6, "main", 1, "main one")
+    back = L.merge_branch(log, KEY, "main", "dev", forks, L.Commit(7, "2024-02-03"), 4, merges=merges)
+    assert sorted((r["id"], r["name"]) for r in back.changes.collect()) == [(1, "main one"), (5, "main five")]
+    log, merges = stored(log.unionByName(back.changes)), stored(merges.unionByName(back.point))
+    log = rename(log, 8, "dev", 2, "dev two")
+    again = L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(9, "2024-02-04"), 6, merges=merges)
+    assert [(r["id"], r["name"]) for r in again.changes.collect()] == [(2, "dev two")]
+    assert again.conflicts.count() == 0
 
 
 def test_keys_cannot_be_assigned(spark, history, forks):
@@ -180,6 +224,11 @@ def test_keys_cannot_be_assigned(spark, history, forks):
         L.update_on_branch(history.log(spark), KEY, "dev", forks, "true", {KEY[0]: F.lit(1)}, L.Commit(99, "2024-01-01"))
 
 
+def stored(df):
+    """Rows as a table holds them, without what they were derived from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 @pytest.fixture
 def people_log(spark):
     rows = [(*p, "main", 1, "I") for p in PEOPLE]
@@ -216,10 +265,12 @@ def test_second_merge_starts_at_the_first(spark, people_log):
 
     def rename(log, version, key, name):
         commit = L.Commit(version, "2024-02-01")
-        return log.unionByName(L.update_on_branch(log, KEY, "dev", forks, f"id = {key}", {"name": F.lit(name)}, commit))
+        return stored(
+            log.unionByName(L.update_on_branch(log, KEY, "dev", forks, f"id = {key}", {"name": F.lit(name)}, commit))
+        )
 
     log = rename(people_log, 3, 1, "first")
-    log = log.unionByName(L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(4, "2024-02-02"), 2).changes)
+    log = stored(log.unionByName(L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(4, "2024-02-02"), 2).changes))
     on_main = L.update_on_branch(log, KEY, "main", None, "id = 1", {"name": F.lit("ours")}, L.Commit(5, "2024-02-03"))
     log = rename(log.unionByName(on_main), 6, 2, "second")
     again = L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(7, "2024-02-04"), 5, merged_upto=3)
@@ -261,8 +312,8 @@ def test_edits_of_different_keys_are_no_conflict(spark, people_log):
     log = people_log
     for version, branch, key in [(3, "main", 1), (4, "dev", 2), (5, "main", 3), (6, "dev", 3)]:
         commit = L.Commit(version, "2024-02-01")
-        log = log.unionByName(
-            L.update_on_branch(log, KEY, branch, forks, f"id = {key}", {"name": F.lit("edited")}, commit)
+        log = stored(
+            log.unionByName(L.update_on_branch(log, KEY, branch, forks, f"id = {key}", {"name": F.lit("edited")}, commit))
         )
     merge = L.merge_branch(log, KEY, "dev", "main", forks, L.Commit(7, "2024-02-02"), 5)
     assert [r["id"] for r in merge.changes.collect()] == [2]
