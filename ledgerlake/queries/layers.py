@@ -249,12 +249,37 @@ def documents_wholetext(spark, folder):
     return files.read_documents(spark, path).select(item.alias("item_id"), "text")
 
 
+@query(
+    """
+SELECT vec_id, label, generate_subscripts(embedding, 1)::INTEGER AS i, unnest(embedding)::DOUBLE AS value
+FROM embeddings"""
+)
+def json_array(spark, folder):
+    """Vectors from files that each hold one array of records; every entry is shown.
+
+    A file is made of a group of at most 100 rows, whatever the size of the table.
+    """
+    path, records = shared_folder(spark), F.to_json(F.collect_list(F.struct("vec_id", "embedding", "label")))
+    groups = table(spark, folder, "embeddings").groupBy(F.floor(F.col("vec_id") / 100).alias("_group"))
+    array = groups.agg(records.alias("value")).select("value")
+    array.write.option("maxRecordsPerFile", 1).text(path)
+    back = files.read_json_records(spark, path, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
+    entries = back.select("vec_id", "label", F.posexplode("embedding").alias("place", "value"))
+    return entries.select(
+        "vec_id", "label", (F.col("place") + 1).alias("i"), F.col("value").cast("double").alias("value")
+    )
+
+
 EVENT_SQL = """
-SELECT event_type, count(*) AS n, min(ts) AS first_ts, round(sum(value), 2) AS total
-FROM events WHERE value > (SELECT avg(value) FROM events)
-GROUP BY event_type ORDER BY event_type"""
+SELECT e.event_type, count(*) AS n, min(e.ts) AS first_ts, round(sum(e.value), 2) AS total
+FROM {0} e JOIN {1} c ON e.user_id = c.c_custkey
+WHERE e.value > (SELECT avg(value) FROM {0})
+GROUP BY e.event_type ORDER BY e.event_type"""
 
 
-@query(f"SELECT * FROM ({EVENT_SQL}) LIMIT 100")
+@query(f"SELECT * FROM ({EVENT_SQL.format('events', 'customer')}) LIMIT 100")
 def guarded_sql(spark, folder):
-    return run_guarded_sql(spark, EVENT_SQL, {"events": table(spark, folder, "events")}, 100)
+    """Generated text names tables with their namespace."""
+    names = {"lake.bronze.events": "events", "silver.customer": "customer"}
+    tables_of = {name: table(spark, folder, stored_as) for name, stored_as in names.items()}
+    return run_guarded_sql(spark, EVENT_SQL.format(*names), tables_of, 100)
