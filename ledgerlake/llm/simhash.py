@@ -263,7 +263,11 @@ def keep_one(docs: DataFrame, words: int = 4) -> DataFrame:
 
     Of several such rows (repeated or null ids) one text is chosen by its hash, and one row of it.
     """
-    found = near_components(docs, words)
+    return keep_first(docs, near_components(docs, words))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each root of ``found`` (doc_id, digest, root), as ``keep_one`` says."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
     kept = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"))
     marked = docs.select(
