@@ -1,10 +1,11 @@
 """Balanced label propagation: linked documents gather in shards whose counts stay equal.
 
-Shards start balanced. In a round every group of linked documents elects a target among the shards that
-still have room, the one with most of its members; members elsewhere that would gain want to move there.
-Wishes from i to j are granted against wishes from j to i, and beyond that against free documents of j,
-which take the places left in i. So each move is a swap, and counts never change. A group larger than a
-shard fills one, which is then closed to others, and goes on gathering in the next.
+Shards start balanced. In a round every group of linked documents elects a target among the open shards,
+the one with most of its members; members elsewhere that would gain want to move there. Wishes from i to j
+are granted against wishes from j to i, then along cycles of more shards, and beyond that against free
+documents at the end of a path, which take the places left at its start. So counts never change. A shard
+is closed when one group fills it, so a group larger than a shard goes on gathering in the next; and for
+one round after none of the wishes for it came true, so that its groups try another.
 """
 
 from __future__ import annotations
@@ -15,34 +16,73 @@ from pyspark.sql import functions as F
 from .common import buckets_for, numbered, stored, text_of, work_folder
 
 ROUNDS = 8
+#: Rounds in which groups elect the shard with most members, before lots are drawn.
+SURE_ROUNDS = 2
 
 
 def _bucket(n: int) -> Column:
     return F.pmod(F.xxhash64("_row", F.lit(17)), F.lit(n))
 
 
-def _best(counts: str, own: Column, is_open: list[bool]) -> Column:
-    """(votes, shard) of the open shard with most members; the group's key breaks ties, so all agree."""
-    choices = [
-        F.struct(F.col(counts)[s].alias("votes"), F.xxhash64("_group", F.lit(s)).alias("lot"), F.lit(s).alias("shard"))
-        for s, room in enumerate(is_open)
-        if room
-    ]
+def _best(counts: str, is_open: list[bool], turn: int) -> Column:
+    """(votes, shard) of the open shard a group elects; lots by group and round make all members agree.
+
+    First the one with most members. Later a lottery among the shards with members, by the squares of
+    their numbers, so that groups that could not gather where most of them are try where others are.
+    """
+    choices = []
+    for s, room in enumerate(is_open):
+        if not room:
+            continue
+        votes, lot = F.col(counts)[s], F.xxhash64("_group", F.lit(s), F.lit(turn))
+        weight = votes.cast("double")
+        if turn > SURE_ROUNDS:
+            weight = F.when(votes > 0, F.log((F.pmod(lot, F.lit(1 << 20)) + 0.5) / (1 << 20)) / (weight * weight)).otherwise(float("-inf"))
+        choices.append(F.struct(weight.alias("weight"), lot.alias("lot"), votes.alias("votes"), F.lit(s).alias("shard")))
     return F.greatest(*choices) if len(choices) > 1 else choices[0]
 
 
+def _path(edges: list[list[int]], start: int, ends: set[int]) -> list[int] | None:
+    """The shards of a shortest path of one edge or more from ``start`` to one of ``ends``."""
+    ways, seen = [[start]], set()
+    for way in ways:
+        for j, n in enumerate(edges[way[-1]]):
+            if n and j in ends:
+                return [*way, j]
+            if n and j not in seen:
+                seen.add(j)
+                ways.append([*way, j])
+    return None
+
+
 def _grants(wishes: list[list[int]], free: list[int]) -> tuple[list[list[int]], list[list[int]]]:
     """How many of the wishes i -> j come true, and how many free documents go j -> i in return."""
     k = len(free)
     granted = [[min(wishes[i][j], wishes[j][i]) for j in range(k)] for i in range(k)]
     returned = [[0] * k for _ in range(k)]
+    left = [[wishes[i][j] - granted[i][j] for j in range(k)] for i in range(k)]
+    room = list(free)
+
+    def grant(way: list[int], n: int) -> None:
+        for i, j in zip(way, way[1:]):
+            granted[i][j] += n
+            left[i][j] -= n
+
+    for i in range(k):
+        while way := _path(left, i, {i}):
+            grant(way, min(left[a][b] for a, b in zip(way, way[1:])))
     for j in range(k):
-        room = free[j]
-        for i in sorted(range(k), key=lambda i: -(wishes[i][j] - granted[i][j])):
-            more = min(room, wishes[i][j] - granted[i][j])
-            granted[i][j] += more
+        for i in sorted(range(k), key=lambda i: -left[i][j]):
+            more = min(room[j], left[i][j])
+            grant([i, j], more)
             returned[j][i] += more
-            room -= more
+            room[j] -= more
+    for i in range(k):
+        while way := _path(left, i, {j for j in range(k) if room[j] and j != i}):
+            more = min(room[way[-1]], *(left[a][b] for a, b in zip(way, way[1:])))
+            grant(way, more)
+            returned[way[-1]][i] += more
+            room[way[-1]] -= more
     return granted, returned
 
 
@@ -63,22 +103,31 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
     state = stored(state, folder, "round0")
     free_rows = {r["shard"]: r["count"] for r in state.filter(F.col("_group").isNull()).groupBy("shard").count().collect()}
     free = [free_rows.get(s, 0) for s in range(shards)]
+    rows = {r["shard"]: r["count"] for r in state.groupBy("shard").count().collect()}
+    stuck = [False] * shards
 
     for turn in range(1, rounds + 1):
-        is_open = [f > 0 for f in free]
-        if not any(is_open):
-            break
         members = state.filter(F.col("_group").isNotNull())
         votes = members.groupBy("_group").agg(
             F.array(*[F.count(F.when(F.col("shard") == s, 1)) for s in range(shards)]).alias("_votes")
         )
-        votes = stored(votes, folder, f"votes{turn}").withColumn("_best", _best("_votes", F.lit(None), is_open))
+        votes = stored(votes, folder, f"votes{turn}")
+        most = votes.agg(*[F.max(F.col("_votes")[s]) for s in range(shards)]).first()
+        full = [(most[s] or 0) >= rows.get(s, 0) for s in range(shards)]
+        if all(a or b for a, b in zip(full, stuck)):
+            stuck = [False] * shards
+        is_open = [not a and not b for a, b in zip(full, stuck)]
+        if not any(is_open):
+            break
+        votes = votes.withColumn("_best", _best("_votes", is_open, turn))
+        # lots move members to shards with fewer of them, but not out of a closed one, nor to where there are none
+        drawn = F.lit(turn > SURE_ROUNDS) & F.array(*map(F.lit, is_open))[F.col("shard")] & (F.col("_best.votes") > 0)
         wishing = members.join(votes, "_group").select(
             "_row",
             "_group",
             "shard",
             F.when(
-                (F.col("_best.shard") != F.col("shard")) & (F.col("_best.votes") >= F.element_at("_votes", F.col("shard") + 1)),
+                (F.col("_best.shard") != F.col("shard")) & ((F.col("_best.votes") >= F.element_at("_votes", F.col("shard") + 1)) | drawn),
                 F.col("_best.shard"),
             ).alias("_to"),
             F.floor(F.log2(F.col("_best.votes") + 1)).cast("int").alias("_class"),
@@ -91,7 +140,10 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
         for r in wishing.filter(F.col("_to").isNotNull()).groupBy("shard", "_to").count().collect():
             wishes[r["shard"]][r["_to"]] = r["count"]
         granted, returned = _grants(wishes, free)
+        was_stuck, stuck = stuck, [any(w[j] for w in wishes) and not any(g[j] for g in granted) for j in range(shards)]
         if not any(map(sum, granted)):
+            if any(was_stuck) or any(stuck) or turn <= SURE_ROUNDS and any(map(sum, wishes)):
+                continue
             break
         # larger groups first: classes count down
         pool = F.struct((-F.col("_class")).alias("class"), _bucket(buckets).alias("bucket"))

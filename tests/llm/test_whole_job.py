@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
-from pyspark.sql import functions as F
-
 import corpus_pipeline
-from ledgerlake.llm import nearcopies
+import pytest
+from ledgerlake.llm import nearcopies, sharding
 
 
 # Near copies of the pipeline
@@ -56,3 +54,33 @@ def test_sets_of_a_band_in_several_components_meet(spark):
     roots = {x["doc_id"]: x["root"] for x in nearcopies.near_copies(frame).collect()}
     assert sum(roots[d] != roots[d + 1] for d in want) <= 1
     assert all(_jaccard(texts[100 * i], texts[100 * i + 10]) < 0.8 and roots[100 * i] != roots[100 * i + 10] for i in range(40))
+
+
+# Shards without free documents
+
+@pytest.mark.parametrize("sizes", [[2] * 2000, [2, 3, 5, 7] * 200 + [1] * 5])
+def test_copies_gather_where_few_or_no_rows_are_free(spark, sizes):
+    r = random.Random(7)
+    texts = [f"text {g}" for g, n in enumerate(sizes) for _ in range(n)]
+    r.shuffle(texts)
+    found = sharding.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas()
+    counts = found.groupby("shard").size()
+    assert len(counts) == 8 and counts.max() - counts.min() <= 1
+    shards = found.assign(text=[texts[d] for d in found.doc_id]).groupby("text").shard.agg(["count", "nunique"])
+    least = -(-shards["count"] // counts.max())
+    assert (shards["nunique"] > least).mean() < 0.05
+
+
+def test_grants_keep_counts_and_follow_cycles():
+    assert sharding._grants([[0, 5, 0], [0, 0, 4], [3, 0, 0]], [0, 0, 0])[0] == [[0, 3, 0], [0, 0, 3], [3, 0, 0]]
+    r = random.Random(8)
+    for _ in range(300):
+        wishes = [[0 if i == j or r.random() < 0.4 else r.randrange(9) for j in range(8)] for i in range(8)]
+        free = [r.choice([0, 0, 3, 20]) for _ in range(8)]
+        granted, returned = sharding._grants(wishes, free)
+        assert all(0 <= granted[i][j] <= wishes[i][j] for i in range(8) for j in range(8))
+        assert all(sum(returned[j]) <= free[j] for j in range(8))
+        for s in range(8):
+            out = sum(granted[s]) + sum(returned[s])
+            into = sum(granted[i][s] + returned[i][s] for i in range(8))
+            assert out == into
