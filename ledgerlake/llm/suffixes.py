@@ -537,11 +537,25 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
     return every.groupBy("doc", "digest").agg(F.collect_list(packed).alias("runs"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def _whole_characters(data: bytes, first: int, end: int) -> tuple[int, int]:
+    """``data[first:end]`` without the rest of a character at its start and the begin of one at its end."""
+
+    def inside(at):
+        return 0 < at < len(data) and data[at] & 0xC0 == 0x80
+
+    while first < end and inside(first):
+        first += 1
+    while end > first and inside(end):
+        end -= 1
+    return first, end
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, characters: bool = False) -> DataFrame:
     """(row, data, spans, kept) of every row of ``docs``.
 
     ``row`` holds its columns, ``data`` the UTF-8 bytes of its text (null: empty), ``spans`` the maximal
-    removed byte ranges, ``kept`` the other bytes in order. No rows give no rows. See ``repeated_runs``.
+    removed byte ranges, ``kept`` the other bytes in order; with ``characters`` without those of characters
+    that a range cuts in two. No rows give no rows. See ``repeated_runs``.
     """
 
     def run(batches):
@@ -551,10 +565,10 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFr
                 starts = np.frombuffer(b"".join(runs or ()), RUN.newbyteorder(">"))
                 ranges = covered(starts.astype(RUN), length)
                 at, parts = 0, []
-                for a, b in ranges.tolist():
-                    parts.append(data[at:a])
+                for a, b in [*ranges.tolist(), [len(data), len(data)]]:
+                    first, end = _whole_characters(data, at, a) if characters else (at, a)
+                    parts.append(data[first:end])
                     at = b
-                parts.append(data[at:])
                 spans.append([{"first": a, "end": b} for a, b in ranges.tolist()])
                 kept.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays(
@@ -585,24 +599,18 @@ def removed_summary(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``; all columns as they were, ``n_chars`` counted anew.
 
-    Cuts fall between bytes, so a character that is cut in two is dropped. A null text stays null.
+    Cuts fall between bytes, so a character that is cut in two is dropped; all others stay. A null text stays null.
     """
     names = docs.columns
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("all"), F.col("text").isNull().alias("null"), "doc_id", "text")
-    cut = cut_repeats(marked, length)
+    cut = cut_repeats(marked, length, characters=True)
     out = []
     for c in names:
         if c == "text":
-            value = F.when(~F.col("row.null"), _valid("kept"))
+            value = F.when(~F.col("row.null"), F.col("kept").cast("string"))
         elif c == "n_chars":
-            value = F.when(~F.col("row.null"), F.length(_valid("kept")).cast(docs.schema[c].dataType))
+            value = F.when(~F.col("row.null"), F.length(F.col("kept").cast("string")).cast(docs.schema[c].dataType))
         else:
             value = F.col("row")["all"][c]
         out.append(value.alias(c))
     return cut.select(*out)
-
-
-def _valid(column: str) -> Column:
-    """Bytes as text, without the broken characters that a cut may leave."""
-    return F.regexp_replace(F.make_valid_utf8(F.col(column).cast("string")), "�", "")
-

@@ -6,7 +6,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from ledgerlake.llm import nearcopies, sharding
+from ledgerlake.llm import nearcopies, sharding, suffixes
 
 
 # Near copies of the pipeline
@@ -84,3 +84,22 @@ def test_grants_keep_counts_and_follow_cycles():
             out = sum(granted[s]) + sum(returned[s])
             into = sum(granted[i][s] + returned[i][s] for i in range(8))
             assert out == into
+
+
+# Characters at cuts
+
+def test_only_characters_cut_in_two_are_dropped(spark):
+    shared = " ".join(map(str, range(60)))
+    texts = {1: "clean � text", 2: f"one é{shared}a", 3: f"two ĩ{shared}b �", 4: None}  # é and ĩ end in the same byte
+    docs = spark.createDataFrame([(d, t, len(t or "")) for d, t in texts.items()], "doc_id long, text string, n_chars int")
+    cut = {x["doc_id"]: (x["text"], x["n_chars"]) for x in suffixes.without_repeats(docs).collect()}
+    assert cut == {1: (texts[1], 12), 2: (texts[2], len(texts[2])), 3: ("two b �", 7), 4: (None, None)}
+
+
+def test_pieces_keep_whole_characters():
+    data = "aé�👍b".encode()
+    for a in range(len(data) + 1):
+        for b in range(a, len(data) + 1):
+            first, end = suffixes._whole_characters(data, a, b)
+            want = data[a:b].decode(errors="ignore") if a < b else ""
+            assert data[first:end].decode() == want
