@@ -1,10 +1,12 @@
 """Benchmark decontamination by templates.
 
 Texts become templates: numbers, units and names give typed placeholders, all other words their lower
-case. Windows of five template words of the benchmark are joined by hash with those of the documents. An
-item is found in a document where 0.8 of its windows or more match in order, and where every slot value
-of the item stands for one value of the document throughout: so the same question with other numbers or
-names is caught, and a text that merely fits the template piece by piece is not.
+case. A word with a capital at a sentence's start may be a name or not, and is read both ways. Windows of
+five template words of the benchmark are joined by hash with those of the documents. An item is found in a
+document where 0.8 of its windows or more match, each once, near one shift of places, and where every slot
+value of the item stands for one value of the document in all of these: so the same question with other
+numbers or names is caught, and a text that merely fits the template piece by piece is not. An item without
+any window that counts is matched as a whole; if it has fewer than two plain words, with its own values.
 
 Windows are filtered in the tasks by a Bloom filter of the benchmark, whose size is fixed; beyond the
 number of windows that it is made for it lets more through, and the join still decides.
@@ -15,6 +17,8 @@ from __future__ import annotations
 import re
 import sys
 import types
+from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,7 @@ LEAST_PLAIN = 2
 DRIFT = 8
 MAX_KNOWN_WORDS = 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(WORDS)]
 
 NUMBER = re.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve hundred thousand million".split())
@@ -50,7 +55,8 @@ PLAIN, SLOT, SKIP = 0, 1, 2
 def word_kind(raw: str) -> tuple[int, int, int, int, bool, str]:
     """Hash and kind at a sentence's start, both elsewhere, whether a sentence ends here, and the value.
 
-    Only a capital tells a name, so the first word of a sentence is none. Words of marks only are skipped.
+    Only a capital tells a name, so the first word of a sentence is plain here; ``templates`` gives the other
+    reading too. Words of marks only are skipped.
     """
     bare = raw.strip(EDGES)
     ends = raw.rstrip("\"'”’)»").endswith(ENDS)
@@ -114,8 +120,11 @@ def _known_words() -> Words:
     return held.__dict__["template_words"]
 
 
-def templates(text: str, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and kinds of a text's template words, without skipped ones, and the words' numbers."""
+def templates(text: str, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, kinds and numbers of a text's template words, without skipped ones; a sentence's first is plain.
+
+    The last array has the hash of a first word read as a name, and the same hash again where there is no choice.
+    """
     known.tidy()
     raw = text.split()
     found = np.fromiter(map(known.__getitem__, raw), np.int64, len(raw))
@@ -125,51 +134,92 @@ def templates(text: str, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarr
         later[1:][known.ends[found[:-1]]] = 0
     kinds = known.kinds[found, later]
     keep = kinds != SKIP
-    return known.hashes[found, later][keep], kinds[keep], found[keep]
+    return known.hashes[found, later][keep], kinds[keep], found[keep], known.hashes[found, 1][keep]
+
 
+def windows(hashes: np.ndarray, kinds: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash of every window that counts, where it starts, and the words in it read as names (bits).
 
-def windows(hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every window that counts, and where it starts."""
+    A window that counts with its first words plain comes once for each reading that counts too.
+    """
     n = len(hashes) - WORDS + 1
     if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = np.zeros(n, np.uint64)
     plain = np.zeros(n, np.int64)
+    two = np.zeros(n, np.int64)
+    other = (names != hashes).astype(np.int64)
     for i in range(WORDS):
         h = h * BASE + hashes[i : i + n]
         plain += kinds[i : i + n] == PLAIN
-    h ^= h >> np.uint64(31)
+        two |= other[i : i + n] << i
     at = np.flatnonzero(plain >= LEAST_PLAIN)
-    return h[at], at
-
-
-def slots(kinds: np.ndarray, words: np.ndarray, at: int, known: Words) -> str:
+    out, places, read = [h[at]], [at], [np.zeros(len(at), np.int64)]
+    open_ = at[two[at] != 0]
+    for mask in range(1, 1 << WORDS) if len(open_) else ():
+        some = open_[(two[open_] & mask == mask) & (plain[open_] - mask.bit_count() >= LEAST_PLAIN)]
+        if len(some):
+            changed = h[some]
+            for i in range(WORDS):
+                if mask >> i & 1:
+                    changed = changed + (names[some + i] - hashes[some + i]) * POWERS[WORDS - 1 - i]
+            out.append(changed), places.append(some), read.append(np.full(len(some), mask))
+    h = np.concatenate(out)
+    return h ^ (h >> np.uint64(31)), np.concatenate(places), np.concatenate(read)
+
+
+def whole(hashes: np.ndarray, at: int, length: int) -> int:
+    """The hash of ``length`` template words, of another kind than those of windows."""
+    return xxhash.xxh64_intdigest(hashes[at : at + length].tobytes(), length)
+
+
+def slots(kinds: np.ndarray, words: np.ndarray, at: int, read: int, known: Words, length: int = WORDS) -> str:
     """The slot values of a window, with their places in it."""
-    return "\x1f".join(f"{i}\x1e{known.values[words[at + i]]}" for i in range(WORDS) if kinds[at + i] == SLOT)
+    return "\x1f".join(f"{i}\x1e{known.values[words[at + i]]}" for i in range(length) if kinds[at + i] == SLOT or read >> i & 1)
 
 
-def bloom_places(hashes: np.ndarray) -> np.ndarray:
-    """Places of the bits of each hash, a column for each probe."""
-    return np.stack([(hashes >> np.uint64(20 * i)) * BASE >> np.uint64(64 - 23) for i in range(BLOOM_PROBES)], axis=1).astype(np.int64)
+def bloom_places(hashes: np.ndarray, probe: int | None = None) -> np.ndarray:
+    """Places of the bits of each hash, a column for each probe, or those of one probe."""
+    if probe is not None:
+        return ((hashes >> np.uint64(20 * probe)) * BASE >> np.uint64(64 - 23)).astype(np.int64)
+    return np.stack([bloom_places(hashes, i) for i in range(BLOOM_PROBES)], axis=1)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(hash, item_id, place, n_windows, slots) of all items; one of fewer than five words has none."""
+    """(hash, item_id, place, n_windows, slots, length) of all items.
+
+    An item without a window that counts has one row, of the length of the whole; without words it has none.
+    """
 
     def run(batches):
         known = _known_words()
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), (v.as_py() for v in batch.column(1))):
-                hashes, kinds, words = templates(text or "", known)
-                found, at = windows(hashes, kinds)
-                for h, a in zip(found.view(np.int64).tolist(), at.tolist()):
-                    rows.append((h, item, a, len(found), slots(kinds, words, a, known)))
-            kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], names=["hash", "item_id", "place", "n_windows", "item_slots"])
+                hashes, kinds, words, names = templates(text or "", known)
+                found, at, read = windows(hashes, kinds, names)
+                n_windows = int((read == 0).sum())
+                for h, a, r in zip(found.view(np.int64).tolist(), at.tolist(), read.tolist()):
+                    rows.append((h, item, a, n_windows, slots(kinds, words, a, r, known), WORDS))
+                if not n_windows and len(hashes):
+                    strict = (kinds == PLAIN).sum() < LEAST_PLAIN
+                    h = _signed(_whole_hashes(hashes, kinds, words, known, 0, len(hashes))[int(strict)])
+                    rows.append((h, item, 0, 1, slots(kinds, words, 0, 0, known, len(hashes)), len(hashes)))
+            kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32())
+            columns = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], names=["hash", "item_id", "place", "n_windows", "item_slots", "length"])
+
+    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, "hash long, item_id long, place int, n_windows int, item_slots string, length int")
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
-    return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, "hash long, item_id long, place int, n_windows int, item_slots string")
+
+def _whole_hashes(hashes: np.ndarray, kinds: np.ndarray, words: np.ndarray, known: Words, at: int, length: int) -> tuple[int, int]:
+    """Hashes of a stretch of template words, and of the same with its slot values."""
+    h = whole(hashes, at, length)
+    return h, xxhash.xxh64_intdigest(slots(kinds, words, at, 0, known, length), h)
 
 
 def bloom_of(found: DataFrame) -> np.ndarray:
@@ -190,8 +240,8 @@ def bloom_of(found: DataFrame) -> np.ndarray:
     return words.view(np.uint8)
 
 
-def document_windows(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
-    """(doc_id, digest, hash, place, slots) of the windows that pass the filter."""
+def document_windows(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFrame:
+    """(doc_id, digest, hash, place, slots) of the windows that pass the filter, and of stretches of ``lengths``."""
     held = docs.sparkSession.sparkContext.broadcast(bloom.tobytes())
     names = ["doc_id", "digest", "hash", "at", "doc_slots"]
     kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
@@ -202,14 +252,19 @@ def document_windows(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, digest, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                hashes, kinds, words = templates(value.as_py() or "", known)
-                found, at = windows(hashes, kinds)
-                if not len(found):
-                    continue
-                places = bloom_places(found)
-                passed = np.all(bits[places >> 3] >> (places & 7).astype(np.uint8) & 1, axis=1)
-                for h, a in zip(found[passed].view(np.int64).tolist(), at[passed].tolist()):
-                    rows.append((doc, digest, h, a, slots(kinds, words, a, known)))
+                hashes, kinds, words, others = templates(value.as_py() or "", known)
+                found, at, read = windows(hashes, kinds, others)
+                passed = np.arange(len(found))
+                for probe in range(BLOOM_PROBES):  # most windows fail at the first
+                    places = bloom_places(found[passed], probe)
+                    passed = passed[bits[places >> 3] >> (places & 7).astype(np.uint8) & 1 != 0]
+                for h, a, r in zip(found[passed].view(np.int64).tolist(), at[passed].tolist(), read[passed].tolist()):
+                    rows.append((doc, digest, h, a, slots(kinds, words, a, r, known)))
+                for length in lengths:
+                    for a in range(len(hashes) - length + 1):
+                        for h in _whole_hashes(hashes, kinds, words, known, a, length):
+                            if all(bits[p >> 3] >> (p & 7) & 1 for p in bloom_places(np.array([h], np.uint64)).ravel().tolist()):
+                                rows.append((doc, digest, _signed(h), a, slots(kinds, words, a, 0, known, length)))
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], names=names)
 
@@ -217,32 +272,68 @@ def document_windows(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
     return keyed.mapInArrow(run, "doc_id long, digest long, hash long, at int, doc_slots string")
 
 
+def _values(text: str) -> list[str]:
+    return [v.split("\x1e")[1] for v in text.split("\x1f")] if text else []
+
+
+def best_share(matches: list[tuple[int, int, str, str]], n_windows: int) -> float:
+    """The largest share of an item's windows that match consistently near one shift.
+
+    ``matches`` are (place, shift, the item's slots, the document's). At every shift each item value stands
+    for the document value that most matches give it. Matches that say otherwise go; places without a match
+    take one from the nearest shift that is consistent with those before.
+    """
+    by_shift: dict[int, list] = {}
+    for place, shift, i, d in sorted(matches):
+        by_shift.setdefault(shift, []).append((place, list(zip(_values(i), _values(d)))))
+    shifts = sorted(by_shift)
+    best = 0
+    for base in shifts:
+        near = shifts[bisect_left(shifts, base - 2 * DRIFT + 1) : bisect_left(shifts, base + 2 * DRIFT)]
+        if len({p for s in near for p, _ in by_shift[s]}) <= best:
+            continue
+        votes = Counter(pair for _, pairs in by_shift[base] for pair in set(pairs))
+        stands: dict[str, str] = {}
+        for (i, d), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0])):
+            stands.setdefault(i, d)
+        placed: set[int] = set()
+        for shift in sorted(near, key=lambda s: (abs(s - base), s)):
+            for place, pairs in by_shift[shift]:
+                if place not in placed:
+                    new = dict(pairs)
+                    if all(new[i] == d and stands.get(i, d) == d for i, d in pairs):
+                        stands |= new
+                        placed.add(place)
+        best = max(best, len(placed))
+    return best / n_windows
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, digest, item_id, found) of the benchmark items that documents hold.
 
-    ``found`` is the share of the item's windows. Texts that are null, empty or shorter than five words
-    hold nothing, and items like these are held by none. Rows of one ``doc_id`` and text count once.
+    ``found`` is the share of the item's windows. Texts that are null or empty hold nothing, and items like
+    these are held by none. Rows of one ``doc_id`` and text count once.
     """
     folder = work_folder(docs.sparkSession, "leaks")
     items = stored(benchmark_windows(benchmark), folder, "items")
-    mine = stored(document_windows(docs, bloom_of(items)).distinct(), folder, "windows")
-    met = mine.join(items, "hash").withColumn("shift", F.col("at") - F.col("place"))
-    # each match in two grids of places, so that a drift below DRIFT stays together in one of them
-    cells = met.withColumn("cell", F.explode(F.array(
-        F.floor(F.col("shift") / (2 * DRIFT)) * 2, F.floor((F.col("shift") + DRIFT) / (2 * DRIFT)) * 2 + 1
-    )))
-    item_slots, doc_slots = F.split("item_slots", "\x1f"), F.split("doc_slots", "\x1f")
-    both = F.zip_with(item_slots, doc_slots, lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    pairs = F.filter(both, lambda p: p["i"] != "")
-    pairs = F.transform(pairs, lambda p: F.struct(F.split(p["i"], "\x1e")[1].alias("i"), F.split(p["d"], "\x1e")[1].alias("d")))
-    grouped = cells.groupBy("doc_id", "digest", "item_id", "cell").agg(
-        F.count_distinct("place").alias("n"),
-        F.first("n_windows").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+    lengths = [r["length"] for r in items.filter((F.col("n_windows") == 1) & (F.col("length") != WORDS)).select("length").distinct().collect()]
+    if items.filter((F.col("n_windows") == 1) & (F.col("length") == WORDS)).limit(1).count():
+        lengths.append(WORDS)
+    mine = stored(document_windows(docs, bloom_of(items), sorted(lengths)).distinct(), folder, "windows")
+    met = mine.join(items, "hash")
+    match = F.struct("place", (F.col("at") - F.col("place")).alias("shift"), "item_slots", "doc_slots")
+    grouped = met.groupBy("doc_id", "digest", "item_id").agg(
+        F.count_distinct("place").alias("n"), F.first("n_windows").alias("n_windows"), F.collect_list(match).alias("matches")
     )
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")
-    held = grouped.filter((F.col("n") >= share * F.col("n_windows")) & consistent)
-    return held.groupBy("doc_id", "digest", "item_id").agg(F.max(F.col("n") / F.col("n_windows")).alias("found"))
+    enough = grouped.filter(F.col("n") >= share * F.col("n_windows")).drop("n")
+
+    def run(batches):
+        for batch in batches:
+            found = [best_share([tuple(m.values()) for m in ms.as_py()], n) for ms, n in zip(batch.column(4), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.float64())], names=["doc_id", "digest", "item_id", "found"])
+
+    shares = enough.select("doc_id", "digest", "item_id", "n_windows", "matches").mapInArrow(run, "doc_id long, digest long, item_id long, found double")
+    return shares.filter(F.col("found") >= share)
 
 
 def mark_documents(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:

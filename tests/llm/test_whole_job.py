@@ -6,7 +6,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from ledgerlake.llm import nearcopies, sharding, suffixes
+from ledgerlake.llm import decontamination, nearcopies, sharding, suffixes
 
 
 # Near copies of the pipeline
@@ -103,3 +103,33 @@ def test_pieces_keep_whole_characters():
             first, end = suffixes._whole_characters(data, a, b)
             want = data[a:b].decode(errors="ignore") if a < b else ""
             assert data[first:end].decode() == want
+
+
+# Decontamination
+
+def _held(spark, items, docs):
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    marked = decontamination.mark_documents(frame, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {x["doc_id"]: x["item_ids"] for x in marked.collect()}
+
+
+def test_items_that_repeat_a_window_nearby_are_found(spark):
+    asked = "we know that if John is 5 years old and Mary is 7 years old then how old are they together in all"
+    other = "we know that if Rita is 8 years old and Paul is 3 years old then how old are they together in all"
+    mixed = "we know that if Rita is 8 years old and Rita is 8 years old then how old are they together in all"
+    docs = [asked, f"some words before {other} and after", "if John is 5 years old and Mary is 7 years old", mixed]
+    held = _held(spark, [asked], docs)
+    assert held[0] == held[1] == [0] and held[2] == []
+
+
+def test_names_at_the_start_of_sentences_are_read_both_ways(spark):
+    asked = "Tom has 3 apples. Tom buys 5 more. How many apples does Tom have?"
+    other = "Ann has 9 apples. Ann buys 4 more. How many apples does Ann have?"
+    wrong = "Ann has 9 apples. Bob buys 4 more. How many apples does Eve have?"
+    assert _held(spark, [asked], [asked, other, f"first words, {other}", wrong]) == {0: [0], 1: [0], 2: [0], 3: []}
+
+
+def test_short_items_are_matched_as_a_whole(spark):
+    items = ["name three primes", "7 8 9 10 11 12"]
+    docs = ["please name three primes now", "name four", "1 2 7 8 9 10 11 12 13", "1 2 3 4 5 6 7"]
+    assert _held(spark, items, docs) == {0: [0], 1: [], 2: [1], 3: []}
