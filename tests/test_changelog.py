@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import PEOPLE, PEOPLE_SCHEMA
+from people import PEOPLE, PEOPLE_SCHEMA
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import changelog as L

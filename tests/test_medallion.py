@@ -3,7 +3,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
-from conftest import PEOPLE_SCHEMA
+from people import PEOPLE_SCHEMA
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import changelog as L

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan_of
+from people import plan_of
 from pyspark.sql import functions as F
 
 from ledgerlake.queries import QUERIES

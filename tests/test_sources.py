@@ -3,7 +3,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
-from conftest import PEOPLE, PEOPLE_SCHEMA, plan_of
+from people import PEOPLE, PEOPLE_SCHEMA, plan_of
 from pyspark.sql import functions as F
 
 from ledgerlake import workspace
