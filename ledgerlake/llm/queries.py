@@ -1,4 +1,4 @@
-"""The ten operators over whole tables, with production parameters."""
+"""The thirteen operators over whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -12,9 +12,12 @@ from . import chat
 from .common import table, work_folder
 from .decontamination import mark_documents
 from .imatch import fingerprint_documents
+from .infill import infill_documents
 from .packing import pack_documents
 from .quality import score_documents
 from .registry import query
+from .repair import repair_damaged
+from .rules import judge_documents
 from .sharding import shard_documents
 from .simhash import near_components
 from .suffixes import removed_summary
@@ -104,3 +107,43 @@ def op10_simhash(spark, folder):
     found = near_components(table(spark, folder, "documents"))
     fingerprint = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
+def _units(low: str, high: str) -> str:
+    return f"array_to_string(units[{low} + 1:{high}], '')"
+
+
+@query(f"""
+WITH given AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+        ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4
+    FROM given),
+placed AS (
+    SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+        greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+             WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut),
+parts AS (
+    SELECT *, {_units("0", "a")} AS prefix, {_units("a", "b")} AS middle, {_units("b", "n")} AS suffix FROM placed)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts""")
+def op11_infill(spark, folder):
+    return infill_documents(table(spark, folder, "documents"))
+
+
+@query()
+def op12_quality_rules(spark, folder):
+    return judge_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op13_conversation_repair(spark, folder):
+    return repair_damaged(table(spark, folder, "conversations"))
