@@ -99,27 +99,30 @@ class _Best:
         self.bar = np.full(len(questions), -np.inf)
         self.kept: pa.Table | None = None
 
-    def show(self, rows: pa.Table) -> None:
-        step = max(1, SCORES_AT_ONCE // max(1, len(self.questions)))
-        for start in range(0, rows.num_rows, step):
-            self._show_block(rows.slice(start, step))
-
-    def _show_block(self, rows: pa.Table) -> None:
+    def show(self, rows: pa.Table, which: np.ndarray | None = None) -> None:
+        """Score rows against all questions, or against ``which`` of them (places, in order)."""
+        which = np.arange(len(self.questions)) if which is None else which
+        step = max(1, SCORES_AT_ONCE // max(1, len(which)))
+        for start in range(0, rows.num_rows if len(which) else 0, step):
+            self._show_block(rows.slice(start, step), which)
+
+    def _show_block(self, rows: pa.Table, which: np.ndarray) -> None:
         # In the order of ids, so that among equal scores the place in the block decides.
         by_id = pc.sort_indices(
             rows, sort_keys=[(self.carried[0], "ascending")], null_placement="at_start"
         )
         rows = rows.take(by_id)
         vectors = _matrix(rows.column(self.vector), self.questions.shape[1])
-        rough = _scaled(vectors) @ self.questions.T
+        rough = _scaled(vectors) @ self.questions[which].T
         valid = ~np.isnan(rough)
         rough[~valid] = -np.inf
         # The last digits of a matrix product depend on where a row stands in it. So it only
         # rules rows out, with a margin, and the rest are scored one by one.
         n = len(vectors)
         cut = np.partition(rough, n - self.k, axis=0)[n - self.k] if n > self.k else -np.inf
-        row, question = np.nonzero((rough >= np.maximum(cut, self.bar) - 1e-9) & valid)
+        row, question = np.nonzero((rough >= np.maximum(cut, self.bar[which]) - 1e-9) & valid)
         if len(row):
+            question = which[question]
             score = self._scores(vectors, row, question)
             order = np.lexsort((row, -score, question))
             best = order[_places(question[order]) < self.k]

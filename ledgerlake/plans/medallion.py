@@ -24,6 +24,7 @@ from ..operators.changelog import (
 from ..operators.checks import check_table
 from ..sources.files import read_csv
 from ..sources.tables import ensure_namespace, replace_table
+from .ledger import Ledger, digest, key_of_files
 
 LAYERS = ("bronze", "silver", "gold", "enriched")
 PEOPLE_SCHEMA = "id INT, name STRING, bio STRING, department STRING, country STRING"
@@ -63,12 +64,16 @@ def run_layers(
     schema: str = PEOPLE_SCHEMA,
     prefix: str = "",
     path: str | None = None,
+    ledger: Ledger | None = None,
+    embed_version: str = "",
 ) -> dict[str, DataFrame]:
     """Write the layers as tables in order, up to one of them; or ``only`` that one.
 
     Each layer reads the stored table of the layer before, not its lineage, so nothing is worked
     out twice and a lost executor costs one layer at most. ``prefix`` goes before the namespaces
-    and ``path`` is the folder for the files, where the catalog's own is not wanted.
+    and ``path`` is the folder for the files, where the catalog's own is not wanted. With a ``ledger``
+    only layers are written whose input, or whose parameters, are not those of the last run; ``embed_version``
+    names the model, and a time of ingestion that is not given does not count.
     """
     upto = upto or ("gold" if embed is None else "enriched")
     if embed is None and "enriched" in (upto, only):
@@ -78,22 +83,39 @@ def run_layers(
     wanted = [only] if only else LAYERS[: LAYERS.index(upto) + 1]
     written: dict[str, DataFrame] = {}
 
-    def store(layer: str, namespace: str, table: str, df: DataFrame, by: list[str] | None = None):
-        ensure_namespace(spark, f"{prefix}{namespace}")
-        where = f"{path}/{prefix}{namespace}/{table}" if path else None
-        written[layer] = replace_table(df, f"{prefix}{namespace}.{table}", by, where)
+    keys: dict[str, str] = {}
+
+    def store(layer: str, namespace: str, table: str, df: Callable[[], DataFrame], source: str, *made_with: object, by: list[str] | None = None):
+        name = f"{prefix}{namespace}.{table}"
+
+        def write() -> DataFrame:
+            ensure_namespace(spark, f"{prefix}{namespace}")
+            return replace_table(df(), name, by, f"{path}/{prefix}{namespace}/{table}" if path else None)
+
+        if ledger is None:
+            written[layer] = write()
+            return
+        before = keys.get(source) or ledger.newest().get(f"{prefix}{source}") or key_of_files(spark, source)
+        keys[layer] = digest(layer, name, before, *made_with)
+        is_there = spark.catalog.tableExists(name)
+        written[layer] = ledger.step(f"{prefix}{layer}", keys[layer], write, lambda: spark.table(name), is_there)
+
+    def bronze() -> DataFrame:
+        return spark.table(f"{prefix}bronze.people")
+
+    def silver() -> DataFrame:
+        return spark.table(f"{prefix}silver.people")
 
     if "bronze" in wanted:
-        store("bronze", "bronze", "people", read_csv(spark, csv_path, schema))
+        store("bronze", "bronze", "people", lambda: read_csv(spark, csv_path, schema), csv_path, schema)
     if "silver" in wanted:
-        store("silver", "silver", "people", bronze_to_silver(spark.table(f"{prefix}bronze.people"), ts))
-        by_initial = silver_by_initial(spark.table(f"{prefix}silver.people"))
-        store("silver_by_initial", "silver", "people_partitioned", by_initial, ["name_initial"])
+        store("silver", "silver", "people", lambda: bronze_to_silver(bronze(), ts), "bronze", ts)
+        by = ["name_initial"]
+        store("silver_by_initial", "silver", "people_partitioned", lambda: silver_by_initial(silver()), "silver", by=by)
     if "gold" in wanted:
-        store("gold", "gold", "people", silver_to_gold(spark.table(f"{prefix}silver.people")))
+        store("gold", "gold", "people", lambda: silver_to_gold(silver()), "silver")
     if "enriched" in wanted:
-        vectors = enrich(spark.table(f"{prefix}bronze.people"), embed)
-        store("enriched", "silver", "people_embeddings", vectors)
+        store("enriched", "silver", "people_embeddings", lambda: enrich(bronze(), embed), "bronze", embed_version)
     return written
 
 

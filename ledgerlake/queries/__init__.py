@@ -1,6 +1,6 @@
 """Registered queries over the given tables. Importing a module registers its queries."""
 
-from . import corpus, layers, retrieval, versions
+from . import corpus, history, layers, retrieval, upkeep, versions
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "corpus", "layers", "retrieval", "versions"]
+__all__ = ["ORACLES", "QUERIES", "corpus", "history", "layers", "retrieval", "upkeep", "versions"]

@@ -13,7 +13,10 @@ from ..functions.vectors import cosine
 from ..operators import changelog as L
 from ..operators import retrieval as R
 from ..operators.embedding import hash_embed
+from ..operators.neighbours import build_neighbour_index
+from ..operators.neighbours import retrieve_index as retrieve_by_list
 from ..plans.index import build_index
+from ..workspace import shared_folder
 from .corpus import CHUNKS, DIM, RUN_TS, hash_vectors_sql, markdown
 from .registry import query, table
 
@@ -88,6 +91,16 @@ def retrieve_top3(spark, folder):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query(f"""
+WITH {MEANS}, {ranked_sql(ALL_VECTORS)}
+SELECT question_id, rank::INTEGER AS rank, chunk_id, label, round(score, 6) AS score FROM ranked""")
+def retrieve_index(spark, folder):
+    """The same from a neighbour index: stored by list, and only lists that can hold a best one are read."""
+    index = build_neighbour_index(corpus(spark, folder), shared_folder(spark))
+    found = retrieve_by_list(label_means(spark, folder), index, 3, ["label"])
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query(f"""
 WITH {MEANS}, overall AS (
     SELECT list(mean ORDER BY i) AS question

@@ -16,10 +16,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """A new, empty folder name that every executor can reach.
 
-    It lies under the session's ``spark.checkpoint.dir``; where that is unset, under the
-    warehouse, which executors share as well.
+    It lies under the session's ``spark.checkpoint.dir``. Where that is unset a session on one machine uses its
+    warehouse; on a cluster that may be a folder of the driver's machine, so it is an error there.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all machines share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/ledgerlake-{uuid.uuid4().hex}"
 
 
