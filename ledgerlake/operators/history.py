@@ -14,21 +14,25 @@ the newest state of its line and the change rows after it, as partition filters
 version of each changed key comes from a hash aggregate on keys and versions, and only these rows are joined
 back, so no state is sorted.
 
+States are stored by ``ranges`` of a hash of the key, with an order-free digest of each range. A diff, a merge or a
+rollback opens only the ranges that its changed keys lie in; two states of any tables are compared by digests first,
+and only ranges that differ are read.
+
 One job writes at a time; ``expected_head`` refuses a commit on a branch that has moved.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .changelog import MAIN, OP, VERSION
+from .checks import observed_values
 
 COMMITS = (
     "version long, branch string, parent long, merged long, ts timestamp_ntz, message string, n_rows_changed long, "
@@ -48,12 +52,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def observed(seen: Observation) -> dict:
-    """What was observed in a write; nothing where the optimizer saw that there are no rows, and observed none."""
-    try:
-        return seen.get
-    except Py4JJavaError:
-        return {}
+def _tests(checks: Mapping[str, Column] | None) -> list[Column]:
+    return [F.coalesce(c, F.lit(False)).alias(f"check_{i}") for i, c in enumerate((checks or {}).values())]
+
+
+def _failed(checks: Mapping[str, Column] | None, found: Mapping) -> list[str]:
+    return [name for i, name in enumerate(checks or {}) if not found.get(f"check_{i}")]
 
 
 def _moment(ts: datetime | str) -> datetime:
@@ -77,6 +81,7 @@ class VersionedTable:
     schema: str
     keys: tuple[str, ...]
     every: int = 16
+    ranges: int = 64
 
     # What is stored
 
@@ -171,20 +176,29 @@ class VersionedTable:
 
     # Reads
 
-    def read(self, version: int | None = None, branch: str = MAIN, columns: Sequence[str] | None = None) -> DataFrame:
-        """The table at a version, or at the head of a branch; a table without commits has no rows."""
+    def _range(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.ranges)).cast("int")
+
+    def read(
+        self, version: int | None = None, branch: str = MAIN, columns: Sequence[str] | None = None, ranges: Sequence[int] | None = None
+    ) -> DataFrame:
+        """The table at a version, or at the head of a branch; a table without commits has no rows.
+
+        With ``ranges`` only keys in these, and only their part of the stored state is scanned.
+        """
         wanted = self.columns if columns is None else list(columns)
         version = self.head(branch) if version is None else version
         if version is None:
             return self.spark.createDataFrame([], self.schema).select(*self.keys, *wanted)
         state, after = self._parts(version)
-        rows = self._changes(after).select(*self.keys, *wanted, OP, VERSION)
+        rows = self._changes(after)
+        rows = (rows if ranges is None else rows.where(self._range().isin(list(ranges)))).select(*self.keys, *wanted, OP, VERSION)
         newest = rows.groupBy(*self.keys).agg(F.max(VERSION).alias(VERSION))
         same = _on([*self.keys, VERSION], "r", "n")
         last = rows.alias("r").join(newest.alias("n"), same, "left_semi").where(F.col(OP) != "D").drop(OP, VERSION)
         if state is None:
             return last
-        kept = self._state(state).select(*self.keys, *wanted).alias("s").join(newest.alias("n"), _on(self.keys, "s", "n"), "left_anti")
+        kept = self._state(state, ranges).select(*self.keys, *wanted).alias("s").join(newest.alias("n"), _on(self.keys, "s", "n"), "left_anti")
         return kept.unionByName(last)
 
     def read_first(self, branch: str = MAIN) -> DataFrame:
@@ -216,14 +230,28 @@ class VersionedTable:
             return self.log.where(F.col(VERSION).isin(versions)) if versions else self.log.where(F.lit(False))
         return self.log.join(versions.withColumnRenamed("version", VERSION), VERSION, "left_semi")
 
-    def _state(self, version: int) -> DataFrame:
-        return self._stored("states", f"{self.schema}, _state long").where(F.col("_state") == version).drop("_state")
+    def _state(self, version: int, ranges: Sequence[int] | None = None) -> DataFrame:
+        rows = self._stored("states", f"{self.schema}, _state long, _range int").where(F.col("_state") == version)
+        return (rows if ranges is None else rows.where(F.col("_range").isin(list(ranges)))).drop("_state", "_range")
 
     def store_state(self, version: int) -> None:
-        """Keep the whole table at a version, so that later reads start from it."""
-        self.read(version).write.mode("overwrite").parquet(f"{self.folder}/states/_state={version}")
+        """Keep the whole table at a version, so that later reads start from it, with a digest of each range of keys."""
+        rows = self.read(version).withColumn("_range", self._range()).hint("rebalance", "_range")
+        rows.write.mode("overwrite").partitionBy("_range").parquet(f"{self.folder}/states/_state={version}")
+        written = self._stored("states", f"{self.schema}, _state long, _range int").where(F.col("_state") == version)
+        h = F.xxhash64(*self.keys, *self.columns)
+        digests = written.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(20,0)")).alias("total"))
+        digests.write.mode("overwrite").parquet(f"{self.folder}/digests/_state={version}")
         self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{self.folder}/state_list")
 
+    def digests(self, version: int) -> DataFrame:
+        """(_range, n, mixed, total) of a version; its state is stored first if it is not."""
+        self.commit_at(version)
+        if self._one(self._stored("state_list", "version long").where(F.col("version") == version)) is None:
+            self.store_state(version)
+        rows = self._stored("digests", "_range int, n long, mixed long, total decimal(30,0), _state long")
+        return rows.where(F.col("_state") == version).drop("_state")
+
     # Comparing versions
 
     def _between(self, a: int, b: int) -> DataFrame | list[int]:
@@ -236,8 +264,9 @@ class VersionedTable:
     def _sides(self, versions: Mapping[str, int], touched: DataFrame) -> DataFrame:
         """Per touched key a struct of the data columns at each version, null where the key is not there."""
         out = touched.alias("k")
+        ranges = sorted(r["r"] for r in touched.select(self._range().alias("r")).distinct().collect())  # at most ``ranges``
         for name, version in versions.items():
-            keyed = self.read(version).alias("t").join(touched.alias("k"), _on(self.keys, "t", "k"), "left_semi")
+            keyed = self.read(version, ranges=ranges if len(ranges) < self.ranges else None).alias("t").join(touched.alias("k"), _on(self.keys, "t", "k"), "left_semi")
             side = keyed.select(*self.keys, F.struct(*self.columns).alias(name)).alias("s")
             out = out.join(side, _on(self.keys, "k", "s"), "left").select("k.*", f"s.{name}").alias("k")
         return out
@@ -256,6 +285,24 @@ class VersionedTable:
         values = [F.col(side)[c].alias(f"{side}_{c}") for side in ("old", "new") for c in self.columns]
         return sides.where(~self._same("old", "new")).select(*self.keys, change.alias("change"), *values)
 
+    def compare(self, version: int, other: VersionedTable, other_version: int) -> DataFrame:
+        """Keys whose rows differ between this table at a version and another table at one, with both rows (``mine``, ``theirs``).
+
+        Both have the same columns, keys and ranges. Digests are compared first, and only ranges that differ are read.
+        """
+        if (self.schema, self.keys, self.ranges) != (other.schema, other.keys, other.ranges):
+            raise ValueError("tables to compare have the same columns, keys and ranges")
+        mine, theirs = self.digests(version), other.digests(other_version)
+        met = mine.join(theirs.withColumnsRenamed({c: f"_{c}" for c in ("n", "mixed", "total")}), "_range", "full")
+        equal = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", "mixed", "total")]
+        found = met.where(~reduce(Column.__and__, equal)).select("_range").collect()  # at most ``ranges``
+        ranges = sorted(r["_range"] for r in found)
+        a = self._state(version, ranges).select(*self.keys, F.struct(*self.columns).alias("mine")).alias("a")
+        b = other._state(other_version, ranges).select(*self.keys, F.struct(*self.columns).alias("theirs")).alias("b")
+        keys = [F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in self.keys]
+        both = a.join(b, _on(self.keys, "a", "b"), "full").select(*keys, "mine", "theirs")
+        return both.where(~self._same("mine", "theirs"))
+
     def base(self, a: int, b: int) -> int | None:
         """The newest version that two versions both see, merges included; None if there is none."""
         first, second = self.commit_at(a)["sees"], self.commit_at(b)["sees"]
@@ -273,11 +320,13 @@ class VersionedTable:
         expected_head: int | None = None,
         merged: int | None = None,
         checks: Mapping[str, Column] | None = None,
+        failing: Callable[[], Sequence[str]] | None = None,
     ) -> int:
         """Write change rows (data columns and ``_op``) as the next version of a branch, and return it.
 
-        Counts, and ``checks`` (aggregates that must be true), are observed in the pass that writes. A check that
-        fails leaves no commit. ``expected_head`` refuses a branch that has moved.
+        Counts, and ``checks`` (aggregates of the change rows that must be true), are observed in the pass that
+        writes; ``failing`` names what else failed in it. A check that fails leaves no commit. ``expected_head``
+        refuses a branch that has moved.
         """
         own, last = self.commits.agg(F.max(F.when(F.col("branch") == branch, F.col("version"))), F.max("version")).first()
         parent = own if own is not None else self.head(branch)
@@ -286,13 +335,13 @@ class VersionedTable:
         version = (last or 0) + 1
         seen = Observation()
         ops = [F.count_if(F.col(OP) == op).alias(op) for op in "IUD"]
-        tests = [F.coalesce(c, F.lit(False)).alias(f"check_{i}") for i, c in enumerate((checks or {}).values())]
+        tests = _tests(checks)
         shaped = self.spark.createDataFrame([], f"{self.schema}, {OP} string").schema
         written = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in shaped.fields])
         written = written.observe(seen, F.count(F.lit(1)).alias("n"), *ops, *tests)
         written.write.mode("overwrite").parquet(f"{self.folder}/log/{VERSION}={version}")
-        found = dict.fromkeys(("n", "I", "U", "D"), 0) | observed(seen)
-        failed = [name for i, name in enumerate(checks or {}) if not found.get(f"check_{i}")]
+        found = dict.fromkeys(("n", "I", "U", "D"), 0) | observed_values(seen)
+        failed = [*_failed(checks, found), *(failing() if failing else ())]
         if failed:
             raise CheckFailed(f"not committed: {', '.join(failed)}")
         before = self.commit_at(parent) if parent is not None else None
@@ -318,7 +367,13 @@ class VersionedTable:
         return self.commit(self.read(branch=branch).where(where).withColumn(OP, F.lit("D")), message, ts, branch)
 
     def replace(self, table: DataFrame, message: str, ts: datetime | str, branch: str = MAIN, checks: Mapping[str, Column] | None = None) -> int:
-        """Make a branch hold exactly ``table``, by the rows that differ. Two rows of a key fail the write."""
+        """Make a branch hold exactly ``table``, by the rows that differ. Two rows of a key fail the write.
+
+        ``checks`` are aggregates of the whole of ``table``, observed as its rows go by in the same pass.
+        """
+        seen = Observation()
+        if checks:
+            table = table.observe(seen, *_tests(checks))
         marked = self.read(branch=branch).withColumn("side", F.lit(0)).unionByName(table.select(*self.keys, *self.columns).withColumn("side", F.lit(1)))
         row = F.struct(*self.columns)
         sides = marked.groupBy(*self.keys).agg(
@@ -328,7 +383,8 @@ class VersionedTable:
         )
         twice = F.raise_error(F.lit("a key has more than one row")).cast("boolean")
         once = sides.where(F.when(F.col("times") > 1, twice).otherwise(F.lit(True)))
-        return self.commit(self._turned(once, "old", "new"), message, ts, branch, checks=checks)
+        failing = (lambda: _failed(checks, observed_values(seen))) if checks else None
+        return self.commit(self._turned(once, "old", "new"), message, ts, branch, failing=failing)
 
     def _turned(self, sides: DataFrame, old: str, new: str) -> DataFrame:
         """Change rows that turn one side into another; a deletion carries what it removes."""

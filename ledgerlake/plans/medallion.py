@@ -5,7 +5,7 @@ The steps are row-wise, so none of them shuffles, and they take streaming frames
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -22,6 +22,7 @@ from ..operators.changelog import (
     replace_on_branch,
 )
 from ..operators.checks import check_table
+from ..operators.history import VersionedTable
 from ..sources.files import read_csv
 from ..sources.tables import ensure_namespace, replace_table
 from .ledger import Ledger, digest, key_of_files
@@ -166,3 +167,23 @@ def etl_on_branch(
         log, keys, branch, MAIN, forks, merge_commit, expected_head, on_conflict, merges=merges
     )
     return BranchRun(changes, checks, replace(merge, changes=merge.changes.where(passed.scalar())))
+
+
+def etl_on_table_branch(
+    bronze: VersionedTable,
+    silver: VersionedTable,
+    branch: str,
+    transform: Callable[[DataFrame], DataFrame],
+    ts: datetime | str,
+    checks: Mapping[str, Column],
+    on_conflict: str = "fail",
+    expected_head: int | None = None,
+) -> tuple[int, int]:
+    """Bring silver up to date on a branch, and merge it into ``main``: the versions of both commits.
+
+    ``checks`` are aggregates of the branch's new silver, observed in the pass that writes its changes; if one does
+    not hold there is no commit and no merge. A branch that silver lacks starts at the head of its ``main``.
+    """
+    silver.create_branch(branch)
+    done = silver.replace(transform(bronze.read(branch=branch)), "etl", ts, branch, checks)
+    return done, silver.merge(branch, MAIN, "merge", ts, on_conflict, expected_head)

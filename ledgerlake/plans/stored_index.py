@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..operators.history import exists, observed
+from ..operators.checks import observed_values
+from ..operators.history import exists
 from ..sources.tables import CHUNK_SCHEMA
 from .index import build_index
 
@@ -96,7 +97,7 @@ class StoredIndex:
         self._replace(kept.select(*made.columns).unionByName(made), "chunks", touched)
         same = self.documents.where(in_touched).join(changes.select("source_path"), "source_path", "left_anti")
         self._replace(same.unionByName(changes.where("kind <> 'removed'").drop("kind")), "documents", touched)
-        return observed(seen).get("n") or 0
+        return observed_values(seen).get("n") or 0
 
     def _replace(self, rows: DataFrame, name: str, touched: list[int]) -> None:
         """Write buckets again, and no others; one that has no rows left is emptied.
@@ -106,6 +107,6 @@ class StoredIndex:
         seen = Observation()
         spread = rows.observe(seen, F.collect_set("bucket").alias("written")).hint("rebalance", "bucket")
         spread.write.mode("overwrite").partitionBy("bucket").option("partitionOverwriteMode", "dynamic").parquet(f"{self.folder}/{name}")
-        for empty in set(touched) - set(observed(seen).get("written") or ()):
+        for empty in set(touched) - set(observed_values(seen).get("written") or ()):
             place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/bucket={empty}")
             place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

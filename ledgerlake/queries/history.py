@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import changelog as L
 from ..operators.history import VersionedTable
+from ..plans import medallion
 from ..workspace import shared_folder
 from . import versions as V
 from .registry import ORACLES, query, table
@@ -18,7 +19,7 @@ def new_table(spark: SparkSession, folder: str) -> VersionedTable:
     """All commits written one after another, with a state kept every three."""
     kept = table(spark, folder, "orders")
     types = ", ".join(f"{c} {kept.schema[c].dataType.simpleString()}" for c in V.KEY + V.COLUMNS)
-    history = VersionedTable(spark, shared_folder(spark), types, ("o_orderkey",), every=3)
+    history = VersionedTable(spark, shared_folder(spark), types, ("o_orderkey",), every=3, ranges=16)
     log = V.orders_log(spark, folder)
     for version, branch, _, message, *_ in V.COMMITS:
         rows = log.where(F.col(L.VERSION) == version).select(*V.KEY, *V.COLUMNS, L.OP)
@@ -78,6 +79,15 @@ def history_diff(spark, folder):
     return built(spark, folder).diff(1, 5)
 
 
+@query(ORACLES["compare_branches"])
+def history_compare(spark, folder):
+    """Two stored states side by side; ranges of keys with equal digests are not read."""
+    history = built(spark, folder)
+    differing = history.compare(history.head(), history, history.head("dev")).where("mine IS NOT NULL AND theirs IS NOT NULL")
+    shown = [F.col(side)[c].alias(f"{c}_{name}") for side, name in (("mine", "main"), ("theirs", "dev")) for c in ("o_orderstatus", "o_totalprice")]
+    return differing.select("o_orderkey", *shown)
+
+
 @query(ORACLES["merge_conflicts"])
 def history_conflicts(spark, folder):
     return built(spark, folder).conflicts("dev", "main")
@@ -141,3 +151,17 @@ def merge_nested(spark, folder):
     mark("dev", "4-NOT SPECIFIED", " DONE")
     history.merge("dev", "main", "second merge", V.COMMIT_TS, on_conflict="source")
     return history.read()
+
+
+@query(ORACLES["etl_on_branch"])
+def history_etl(spark, folder):
+    """Silver is rebuilt on ``dev``, checked as it is written, and merged; ``main`` then equals the branch."""
+    bronze = built(spark, folder)
+    silver = VersionedTable(spark, shared_folder(spark), bronze.schema + ", status_upper string", bronze.keys)
+    silver.commit(V.to_silver(bronze.read(2)).withColumn(L.OP, F.lit("I")), "first silver", V.COMMIT_TS)
+    checks = {
+        "some rows": F.count(F.lit(1)) > 0,
+        "every status in capitals": F.bool_and(F.col("status_upper") == F.upper("o_orderstatus")),
+    }
+    medallion.etl_on_table_branch(bronze, silver, "dev", V.to_silver, V.COMMIT_TS, checks, expected_head=1)
+    return silver.read()

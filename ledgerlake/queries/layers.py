@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.checks import check_table, top_groups
+from ..operators.checks import check_table, observe_checks, top_groups
 from ..operators.embedding import embedder
 from ..operators.guarded_sql import run_guarded_sql
 from ..plans import medallion
 from ..sources import files, tables
+from ..sources.corpus import write_corpus
 from ..workspace import shared_folder
-from .registry import query, table
+from .registry import ORACLES, query, table
 
 RUN_TS = "2024-01-01 00:00:00"
 
@@ -150,6 +151,19 @@ def layer_checks(spark, folder):
     )
 
 
+@query(ORACLES["layer_checks"])
+def layer_checks_in_write(spark, folder):
+    """The same checks, observed while both tables are written."""
+    silver, of_silver = observe_checks(
+        medallion.bronze_to_silver(people(spark, folder), run_ts()), ["name_upper", "ingestion_ts", "name_initial"]
+    )
+    vectors, of_vectors = observe_checks(table(spark, folder, "embeddings"), ["embedding"], dims={"embedding": 64})
+    stored(silver)
+    stored(vectors)
+    checks = of_silver().withColumn("layer", F.lit("silver"))
+    return checks.unionByName(of_vectors().withColumn("layer", F.lit("vectors"))).select("layer", "check", "passed", "found")
+
+
 METADATA_PATHS = """
 SELECT 's3://w/' || lower(c_mktsegment) || '/' || t || '_' ||
        regexp_replace(md5(c_nationkey::VARCHAR), '^(.{8})(.{4})(.{4})(.{4})(.{12})$',
@@ -242,10 +256,11 @@ def json_roundtrip(spark, folder):
 
 @query("SELECT item_id, text || chr(10) AS text FROM benchmark")
 def documents_wholetext(spark, folder):
-    """Each item as a file of its own, read back whole. The writer ends a file with a line feed."""
+    """Each item as a file of its own, with a line feed at its end, read back whole."""
     path = shared_folder(spark)
-    table(spark, folder, "benchmark").write.partitionBy("item_id").text(path)
-    item = F.regexp_extract("source_path", "item_id=([0-9]+)", 1).cast("bigint")
+    named = F.concat(F.lit("item_"), "item_id", F.lit(".txt"))
+    write_corpus(table(spark, folder, "benchmark").select(named.alias("source_path"), F.concat("text", F.lit("\n")).alias("text")), path)
+    item = F.regexp_extract("source_path", "item_([0-9]+)[.]txt", 1).cast("bigint")
     return files.read_documents(spark, path).select(item.alias("item_id"), "text")
 
 

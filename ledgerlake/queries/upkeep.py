@@ -48,7 +48,7 @@ SELECT source || '/' || doc_id || '.md' AS source_path, CASE WHEN doc_id % 10 =
 
 
 def _written_corpus(spark, folder) -> str:
-    path = shared_folder(spark).removeprefix("file:")
+    path = shared_folder(spark)
     text = F.when(F.col("doc_id") % 10 == 3, "").otherwise(F.col("text"))
     rows = table(spark, folder, "documents").select(F.concat("source", F.lit("/"), "doc_id", F.lit(".md")).alias("source_path"), text.alias("text"))
     corpus_files.write_corpus(rows.repartition(8), path)
@@ -59,14 +59,14 @@ def _written_corpus(spark, folder) -> str:
 def corpus_documents(spark, folder):
     """Every document as a file of its own, a tenth of them empty, read back whole: no file is missed."""
     path = _written_corpus(spark, folder)
-    return corpus_files.read_corpus(spark, path, root=path + "/")
+    return corpus_files.read_corpus(spark, path, relative=True)
 
 
 @query(f"SELECT source_path, octet_length(encode(text))::BIGINT AS size FROM ({CORPUS_SQL})")
 def corpus_inventory(spark, folder):
     """Paths and sizes of the same files, which are not opened."""
     path = _written_corpus(spark, folder)
-    return corpus_files.list_corpus(spark, path, root=path + "/").select("source_path", "size")
+    return corpus_files.list_corpus(spark, path, relative=True).select("source_path", "size")
 
 
 @query("""

@@ -5,7 +5,8 @@ a large one has its own; a task opens its files one after another and hands out
 any that Arrow knows: a local path, or a URI of ``s3`` (also ``s3a``), ``gs``, ``hdfs`` or ``file``.
 
 ``register(spark)`` once, then ``spark.read.format("corpus").load(path)``. Options: ``suffix`` (only files that end
-so), ``contentless`` (paths, sizes and times only; no file is opened), ``partitionBytes``, ``root`` (cut off paths).
+so), ``contentless`` (paths, sizes and times only; no file is opened), ``partitionBytes``, ``relative`` (paths below the
+folder that is read, in any store).
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ class CorpusReader(DataSourceReader):
     def __init__(self, options: dict, contentless: bool):
         self.path = options["path"]
         self.suffix = options.get("suffix", "")
-        self.root = options.get("root", "")
+        self.relative = str(options.get("relative", "false")).lower() == "true"
         self.partition_bytes = int(options.get("partitionBytes", PARTITION_BYTES))
         self.contentless = contentless
 
@@ -79,12 +80,13 @@ class CorpusReader(DataSourceReader):
         return packed(sorted((f.path, f.size, f.mtime) for f in kept if not hidden(f.path)), self.partition_bytes) or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        system, _ = file_system(self.path)
+        system, base = file_system(self.path)
+        cut = len(base.rstrip("/")) + 1 if self.relative else 0
         kinds = [pa.string(), pa.int64(), pa.timestamp("us", "UTC")] + ([] if self.contentless else [pa.string()])
         names = ["source_path", "size", "modified", "text"][: len(kinds)]
         rows, held = [], 0
         for path, size, modified in partition.files:
-            row = (path.removeprefix(self.root), size, modified)
+            row = (path[cut:], size, modified)
             if not self.contentless:
                 with system.open_input_stream(path) as file:
                     row += (file.read().decode("utf-8", "replace"),)
@@ -116,16 +118,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(CorpusSource)
 
 
-def read_corpus(spark: SparkSession, path: str, root: str = "", suffix: str = "") -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, relative: bool = False, suffix: str = "") -> DataFrame:
     """(source_path, text) of every file below ``path``, empty ones too, in any number per task."""
     register(spark)
-    return spark.read.format("corpus").options(root=root, suffix=suffix).load(path).select("source_path", "text")
+    return spark.read.format("corpus").options(relative=relative, suffix=suffix).load(path).select("source_path", "text")
 
 
-def list_corpus(spark: SparkSession, path: str, root: str = "", suffix: str = "") -> DataFrame:
+def list_corpus(spark: SparkSession, path: str, relative: bool = False, suffix: str = "") -> DataFrame:
     """(source_path, size, modified) of every file below ``path``; none is opened."""
     register(spark)
-    return spark.read.format("corpus").options(root=root, suffix=suffix, contentless=True).load(path)
+    return spark.read.format("corpus").options(relative=relative, suffix=suffix, contentless=True).load(path)
 
 
 def write_corpus(df: DataFrame, path: str, name: str = "source_path", text: str = "text") -> int:

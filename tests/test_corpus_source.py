@@ -24,7 +24,7 @@ def folder(spark, tmp_path):
 def test_every_file_is_read_whole_also_empty_ones(spark, folder):
     path, texts = folder
     for place in (path, f"file://{path}"):
-        rows = corpus.read_corpus(spark, place, root=path + "/").collect()
+        rows = corpus.read_corpus(spark, place, relative=True).collect()
         assert [r["source_path"] for r in rows] == sorted(texts)
         assert {r["source_path"]: r["text"] for r in rows} == texts
 
@@ -34,7 +34,7 @@ def test_listing_opens_no_file(spark, folder, tmp_path):
     secret = tmp_path / "s0" / "secret.md"
     secret.write_text("abc")
     secret.chmod(0)
-    rows = {r["source_path"]: r for r in corpus.list_corpus(spark, path, root=path + "/", suffix=".md").collect()}
+    rows = {r["source_path"]: r for r in corpus.list_corpus(spark, path, relative=True, suffix=".md").collect()}
     assert rows.keys() == {n for n in texts if n.endswith(".md")} | {"s0/secret.md"}
     assert all(rows[n]["size"] == len(t.encode()) and rows[n]["modified"] for n, t in texts.items() if n in rows)
 
@@ -63,6 +63,6 @@ def test_what_is_written_is_read(spark, tmp_path):
     rows = [("a/1.txt", "x"), ("a/2.txt", None), ("b c/3.txt", "μ\n")]
     path = str(tmp_path / "out")
     assert corpus.write_corpus(spark.createDataFrame(rows, "source_path string, text string"), path) == 3
-    back = corpus.read_corpus(spark, path, root=path + "/")
+    back = corpus.read_corpus(spark, path, relative=True)
     assert {tuple(r) for r in back.collect()} == {(n, t or "") for n, t in rows}
     assert back.where(F.length("text") == 0).count() == 1

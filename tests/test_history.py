@@ -188,3 +188,46 @@ def test_more_versions_than_are_named(spark, monkeypatch):
     for v in range(5):
         history.commit(changes(spark, [(v, "a", v, "I"), (0, "z", v, "U")]), "c", TS)
     assert state(history.read()) == {0: ("z", 4), **{v: ("a", v) for v in range(1, 5)}}
+
+
+def test_checks_of_a_replaced_table_see_all_of_it(spark):
+    history = new(spark)
+    rows = spark.createDataFrame([(i, "a", i) for i in range(5)], SCHEMA)
+    history.replace(rows, "first", TS, checks={"five": F.count(F.lit(1)) == 5})
+    history.replace(rows.withColumn("n", F.when(F.col("id") == 3, 9).otherwise(F.col("n"))), "one row differs", TS, checks={"five": F.count(F.lit(1)) == 5})
+    assert history.commit_at(2)["n_rows_changed"] == 1
+    with pytest.raises(CheckFailed, match="six"):
+        history.replace(rows, "again", TS, checks={"six": F.count(F.lit(1)) == 6})
+    assert history.head() == 2
+
+
+def filters_of(df):
+    return [part.split("]")[0] for part in plan_of(df).split("PartitionFilters: [")[1:]]
+
+
+def test_one_changed_row_opens_one_range(spark):
+    def filled(rows):
+        history = VersionedTable(spark, new(spark).folder, SCHEMA, ("id",), 16, ranges=8)
+        history.commit(rows.withColumn(OP, F.lit("I")), "load", TS)
+        return history
+
+    rows = spark.range(20_000).selectExpr("id", "concat('n', id) AS name", "cast(id % 7 AS int) AS n")
+    a, b = filled(rows), filled(rows.repartition(5).withColumn("n", F.when(F.col("id") == 77, 9).otherwise(F.col("n"))))
+    found = a.compare(1, b, 1)
+    ranges = [f.split("IN (")[1].split(")")[0] if "IN (" in f else f.split("_range")[2].split("= ")[1].split(",")[0].split(")")[0] for f in filters_of(found) if "_range" in f]
+    assert len(ranges) == 2 and all("," not in r for r in ranges)
+    assert [(r["id"], r["mine"]["n"], r["theirs"]["n"]) for r in found.collect()] == [(77, 0, 9)]
+    assert a.compare(1, filled(rows.orderBy(F.desc("id"))), 1).count() == 0
+    a.update("id = 77", {"n": F.lit(9)}, "one row", TS)
+    assert a.compare(2, b, 1).count() == 0
+    diff = a.diff(1, 2)
+    assert all("_range" in f for f in filters_of(diff) if "_state" in f) and [r["id"] for r in diff.collect()] == [77]
+    with pytest.raises(ValueError):
+        a.compare(1, new(spark), 1)
+
+
+def test_compared_tables_without_common_rows(spark):
+    a, b = (VersionedTable(spark, new(spark).folder, SCHEMA, ("id",), 16, ranges=4) for _ in range(2))
+    a.commit(changes(spark, [(1, "a", 1, "I"), (None, "n", 1, "I")]), "one", TS)
+    b.commit(changes(spark, [(2, "b", 2, "I"), (1, "a", 1, "I")]), "one", TS)
+    assert {(r["id"], r["mine"] is None, r["theirs"] is None) for r in a.compare(1, b, 1).collect()} == {(None, False, True), (2, True, False)}
