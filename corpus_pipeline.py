@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.common import stored, table, work_folder
 from ledgerlake.llm.decontamination import keep_clean
-from ledgerlake.llm.nearcopies import keep_one_copy
 from ledgerlake.llm.packing import pack_documents
 from ledgerlake.llm.quality import keep_good
 from ledgerlake.llm.queries import vocabulary
+from ledgerlake.llm.simhash import keep_one
 from ledgerlake.llm.suffixes import without_repeats
 
 
@@ -23,11 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id.
-
-    Copies are found by similarity (0.8 or more of shingles of five words), not by SimHash: see ``nearcopies``.
-    """
-    return keep_one_copy(docs)
+    """One document of each component of fingerprints within four bits stays, the one with the smallest id."""
+    return keep_one(docs, words=4)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
