@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import sys
-import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from ledgerlake.workspace import shared_folder
 
+#: Settings of the session under which finished queries leave no shuffle files.
+CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled",)
 #: Rows that one task numbers or packs at a time.
 ROWS_PER_BUCKET = 100_000
 
@@ -23,10 +25,27 @@ def ship(*modules: str) -> None:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of the queries run inside when each of them ends."""
+    before = {name: spark.conf.get(name, None) for name in CLEANUP}
+    try:
+        for name in CLEANUP:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def stored(df: DataFrame, folder: str, name: str, by: str | None = None) -> DataFrame:
     """``df`` written below a shared folder and read again: a lost executor costs one step at most."""
     path = f"{folder}/{name}"
-    (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,17 +55,6 @@ def drop(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps now, not at some later time.
-
-    It works in its own thread, a moment after the references to a shuffle are gone.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.4)
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}-{name}"
 

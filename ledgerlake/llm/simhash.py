@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, ship, stored, work_folder
+from .common import ship, stored, work_folder
 from .components import components
 
 ship(__name__)
@@ -229,7 +229,8 @@ def near_links(prints: DataFrame, folder: str) -> DataFrame:
         yield out()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.select("fingerprint").distinct().mapInArrow(to_keys, "key long, fingerprint long")
+    # dealt by number: adaptive execution would join these few bytes to very few tasks, which make a hundred keys of each
+    keyed = prints.select("fingerprint").distinct().repartition(n, "fingerprint").mapInArrow(to_keys, "key long, fingerprint long")
     dealt = keyed.repartition(n, "key").sortWithinPartitions("key", "fingerprint")
     return stored(dealt.mapInArrow(to_links, "u long, v long").distinct(), folder, "links")
 
@@ -246,7 +247,6 @@ def near_components(docs: DataFrame, words: int = 4) -> DataFrame:
     folder = work_folder(spark, "simhash")
     prints = stored(fingerprints(docs, words), folder, "prints")
     edges = near_links(prints, folder)
-    release(spark)
     roots = components(edges, folder)
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
     known = least.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
