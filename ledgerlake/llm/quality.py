@@ -1,7 +1,7 @@
 """A quality classifier learned from positive and unlabelled documents.
 
-Documents with a trusted label 1 are the positives, documents without any label the unlabelled ones;
-rows that are held out take no part. The class prior is the share of label 1 among the labelled rows
+Documents with a trusted label 1 are the positives; all documents, their labels unread, are the unlabelled ones.
+Rows that are held out take no part. The class prior is the share of label 1 among the labelled rows
 that may be learned from. A linear model on the shape of a text minimises the unbiased risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)])    with    l(z) = log(1 + exp(-z)),
@@ -183,17 +183,13 @@ def shaped(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
 def train(rows: DataFrame) -> Model:
     """The model from the rows of ``shaped`` that are not held out.
 
-    Without positives, or without other rows, every score is one half. Without unlabelled rows the
-    labelled ones count as unlabelled, their labels unread.
+    Without positives every score is one half.
     """
     free = rows.filter(~F.col("held_out"))
-    n = free.agg(
-        F.count(F.when(F.col("quality") == 1, 1)).alias("good"), F.count("quality").alias("known"), F.count("*").alias("all")
-    ).first()
+    n = free.agg(F.count(F.when(F.col("quality") == 1, 1)).alias("good"), F.count("quality").alias("known")).first()
     prior = (n["good"] + 1) / (n["known"] + 2)
     positives = free.filter(F.col("quality") == 1).withColumn("is_positive", F.lit(True))
-    others = free.filter(F.col("quality").isNull()) if n["all"] > n["known"] else free
-    return fit(positives.unionByName(others.withColumn("is_positive", F.lit(False))), prior)
+    return fit(positives.unionByName(free.withColumn("is_positive", F.lit(False))), prior)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -215,7 +211,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns.
+
+    A null text is scored as an empty one; repeated rows and null ids stay or go by their texts alone. The shape
+    of a text is worked out again rather than joined, so that no text is shuffled. No rows give no rows.
+    """
     model = train(shaped(docs, labels, work_folder(docs.sparkSession, "quality")))
 
     @F.pandas_udf("double")
