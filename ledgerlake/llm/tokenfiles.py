@@ -43,7 +43,13 @@ LEVEL = 1
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a URI in any store that Arrow knows, or of a local path."""
+    """The file system and path of a URI in any store that Arrow knows, or of a local path.
+
+    Hadoop's names of one store, ``s3a`` and ``s3n``, are Arrow's ``s3``.
+    """
+    scheme, _, rest = uri.partition("://")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3://{rest}"
     if uri.startswith("file:"):
         uri = "/" + uri.removeprefix("file:").lstrip("/")
     return pafs.FileSystem.from_uri(uri)
