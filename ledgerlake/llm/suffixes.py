@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, release, ship, stored, text_of, work_folder
+from .common import drop, ship, stored, text_of, work_folder
 
 ship(__name__)
 
@@ -38,6 +38,9 @@ PLACE_BITS = np.uint64((1 << 24) - 1)
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xD6E8FEB86659FD93)
 HOT = 20_000
+#: Bytes of text whose anchors one bucket holds, on average. So many buckets at least that most anchors of a document
+#: lie in different ones: more of them then make no more rows of a document.
+BYTES_PER_BUCKET, LEAST_BUCKETS = 16 << 20, 64
 RECORDS_AT_ONCE = 50_000
 LEAST = -(1 << 63)
 
@@ -503,33 +506,27 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
     spark = docs.sparkSession
     folder = work_folder(spark, "suffixes")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(8, n // 4)
     keyed = docs.select(*_keyed(docs))
+    n_bytes = keyed.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-n_bytes // BYTES_PER_BUCKET))
     dealt = keyed.mapInArrow(_deal_anchors(buckets, length), DEALT)
     twice = dealt.groupBy("bucket").applyInArrow(_repeated_anchors, "doc long, digest long, anchors binary")
     twice = stored(twice, folder, "anchors")
-    release(spark)
 
     lists = twice.groupBy("doc", "digest").agg(F.collect_list("anchors").alias("anchors"))
     with_text = keyed.join(lists, ["doc", "digest"]).select("doc", "digest", "data", "anchors")
     records = stored(with_text.mapInArrow(_cut_records(length), RECORD), folder, "records", by="whole")
-    del with_text, lists, dealt
     drop(spark, f"{folder}/anchors")
-    release(spark)
 
     suffix = [F.expr(f"substring(bytes, before + 1, {GRAM})"), F.col("bytes")]
     ordered = records.filter("whole").select("bytes", "before", "doc", "digest", "first").repartitionByRange(n, *suffix)
     met = stored(ordered.sortWithinPartitions(*suffix).mapInArrow(_compare_records(length, hot, n), MET), folder, "met")
-    del ordered
     drop(spark, f"{folder}/records/whole=true")
-    release(spark)
 
     names = ["doc", "digest", "first", "last"]
     singles = met.filter(F.col("bucket").isNotNull()).select("bucket", "windows", "places")
     singles = singles.repartitionByRange(n, "bucket").sortWithinPartitions("bucket")
     late = stored(singles.mapInArrow(_compare_windows(length), RUNS), folder, "late")
-    del singles
-    release(spark)
 
     runs = records.filter(~F.col("whole")).select(*names)
     every = runs.unionByName(met.filter(F.col("bucket").isNull()).select(*names)).unionByName(late)
@@ -585,6 +582,11 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, character
 
 
 def removed_summary(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``.
+
+    A null text is empty; a null ``doc_id`` comes before all others. Rows that share id and text are one document, cut
+    alike; rows that share an id only follow the hash of their texts. Other columns are not read. No rows give no rows.
+    """
     cut = cut_repeats(docs.select("doc_id", "text"), length, hot)
     n_bytes = F.octet_length("data").cast("long")
     return cut.select(
