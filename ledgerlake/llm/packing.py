@@ -1,8 +1,9 @@
 """Best-fit packing of token sequences, by hierarchical residual packing.
 
-Tasks pack their own pieces best-fit decreasing and keep bins that are nearly full. The emptiest bins
-of every task go on as items: eight tasks' worth are packed again by one, and so on up a tree. A task
-carries at most ``MAX_CARRIED`` bins, so that the last one gets a bounded number whatever the input.
+Tasks pack their own pieces best-fit decreasing and emit bins that are nearly full. All underfull bins go
+on as items: they are dealt anew to as few tasks as ``ITEMS_PER_TASK`` allows, at most an eighth as many as
+before, and packed again, and so on up a tree. It ends in one task, or when a round over several tasks
+makes no fewer bins than it was given: what is left then cannot be joined, and is emitted as it is.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from .tokens import ids_of_all
 ship(__name__, tokens.__name__)
 
 FAN_IN = 8
-MAX_CARRIED = 2048
 ITEMS_PER_TASK = 50_000
 BATCH_BYTES = 4 << 20
 
@@ -93,7 +93,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, places, np.array(fills, np.int64)
 
 
-def _packer(capacity: int, nearly: int, most: int, level: int, last: bool):
+def _packer(capacity: int, nearly: int, level: int, last: bool):
     """Pack the bins of a task into new ones. Rows of a bin share ``sequence_id`` and ``fill``."""
 
     def run(batches):
@@ -107,10 +107,7 @@ def _packer(capacity: int, nearly: int, most: int, level: int, last: bool):
         fill = rows["fill"].to_numpy()
         _, first, of = np.unique(old, return_index=True, return_inverse=True)
         bins, places, fills = best_fit(fill[first], capacity)
-        emptiest = np.argsort(fills, kind="stable")[:most]
-        is_open = np.zeros(len(fills), bool)
-        is_open[emptiest] = not last
-        is_open &= fills < capacity - nearly
+        is_open = (fills < capacity - nearly) & (not last)
         base = (level << 52) | (TaskContext.get().partitionId() << 32)
         new = {
             "sequence_id": base + bins[of],
@@ -126,7 +123,7 @@ def _packer(capacity: int, nearly: int, most: int, level: int, last: bool):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int, folder: str, nearly: int | None = None, most: int = MAX_CARRIED) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, folder: str, nearly: int | None = None) -> DataFrame:
     """Every row of ``pieces`` with ``sequence_id`` and ``offset``: as few sequences as it can.
 
     ``pieces`` needs ``length`` from 1 to ``capacity`` and may have any other columns; it is read
@@ -148,27 +145,26 @@ def pack(pieces: DataFrame, capacity: int, folder: str, nearly: int | None = Non
         F.raise_error(F.lit("a piece must have 1 to capacity ids")).cast("long")
     )
     items = parts.repartition(n).withColumns(
-        {
-            "sequence_id": F.monotonically_increasing_id(),
-            "offset": F.lit(0).cast("long"),
-            "fill": size,
-            "open": F.lit(True),
-            "_task": F.spark_partition_id(),
-        }
+        {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "fill": size, "open": F.lit(True)}
     )
-    done, level = [], 0
+    done, level, given = [], 0, None
     while True:
-        run = _packer(capacity, nearly, most, level, last=n == 1)
+        run = _packer(capacity, nearly, level, last=n == 1)
         level_rows = stored(items.mapInArrow(run, items.schema), folder, f"level{level}")
-        done.append(level_rows.filter(~F.col("open")))
+        closed, left = level_rows.filter(~F.col("open")), level_rows.filter("open")
+        done.append(closed)
         if n == 1:
             break
-        n, level = -(-n // FAN_IN), level + 1
-        group = F.floor(F.col("_task") / FAN_IN).cast("int")
-        items = level_rows.filter("open").withColumn("_task", group).repartition(n, "_task")
+        bins = level_rows.filter(F.col("offset") == 0).agg(F.count("*").alias("made"), F.count_if("open").alias("open")).first()
+        if not bins["open"] or (given is not None and bins["made"] >= given):
+            done.append(left)
+            break
+        given = bins["open"]
+        n, level = min(buckets_for(given, per_bucket=ITEMS_PER_TASK), -(-n // FAN_IN)), level + 1
+        items = left.repartition(n, F.xxhash64("sequence_id", F.lit(level)))
     out = full
     for rows in done:
-        out = out.unionByName(rows.drop("fill", "open", "_task"))
+        out = out.unionByName(rows.drop("fill", "open"))
     return out
 
 
