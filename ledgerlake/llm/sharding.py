@@ -6,6 +6,9 @@ are granted against wishes from j to i, then along cycles of more shards, and be
 documents at the end of a path, which take the places left at its start. So counts never change. A shard
 is closed when one group fills it, so a group larger than a shard goes on gathering in the next; and for
 one round after none of the wishes for it came true, so that its groups try another.
+
+Large groups gather first: in a phase all documents of groups below its least size count as free, and the
+phases go down to pairs. A phase ends when its groups have not come to lie in fewer shards for some rounds.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import buckets_for, numbered, stored, text_of, work_folder
 
-ROUNDS = 8
+#: Rounds of a phase at most, and without gain; the factor between the least sizes of two phases.
+ROUNDS, PATIENCE, PHASE_FACTOR = 16, 3, 8
 #: Rounds in which groups elect the shard with most members, before lots are drawn.
 SURE_ROUNDS = 2
 
@@ -90,52 +94,62 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
     """``links`` (_row long, unique; _group string or null) with ``shard``: counts differ by one at most.
 
     A document with a null group, or alone in its group, has no links and fills up shards. Only counts
-    per shard, and per pair of shards, come to the driver. Rounds are stored in ``folder``, and end when
-    nothing moves.
+    per shard, and per pair of shards, come to the driver. Rounds are stored in ``folder``.
     """
     buckets = buckets_for(links.count(), least=16)
     sizes = links.filter(F.col("_group").isNotNull()).groupBy("_group").agg(F.count("*").alias("_size")).filter("_size > 1")
     # stored first, as are votes: right after an aggregate, adaptive execution could not split the join at a hot group
     sizes = stored(sizes, folder, "sizes")
     linked = links.join(sizes, "_group", "left").withColumn("_group", F.when(F.col("_size").isNotNull(), F.col("_group")))
-    first = numbered(linked.select("_row", "_group"), [], _bucket(buckets), [F.col("_row")], "_n")
-    state = first.select("_row", "_group", F.pmod("_n", F.lit(shards)).cast("int").alias("shard"))
-    state = stored(state, folder, "round0")
-    free_rows = {r["shard"]: r["count"] for r in state.filter(F.col("_group").isNull()).groupBy("shard").count().collect()}
-    free = [free_rows.get(s, 0) for s in range(shards)]
-    rows = {r["shard"]: r["count"] for r in state.groupBy("shard").count().collect()}
+    first = numbered(linked.select("_row", "_group", "_size"), [], _bucket(buckets), [F.col("_row")], "_n")
+    state = stored(first.select("_row", "_group", "_size", F.pmod("_n", F.lit(shards)).cast("int").alias("shard")), folder, "start")
+    least = state.agg(F.max("_size")).first()[0] or 0
+    phase = 0
+    while least >= 2:
+        least = max(2, least // PHASE_FACTOR)
+        state = _gathered(state, shards, least, buckets, rounds, folder, phase)
+        phase, least = phase + 1, least - (least == 2)
+    return state
+
+
+def _gathered(state: DataFrame, shards: int, least: int, buckets: int, rounds: int, folder: str, phase: int) -> DataFrame:
+    """One phase: the state (_row, _group, _size, shard) after groups of ``least`` documents and more have moved."""
+    names = ["_row", "_group", "_size", "shard"]
+    active = F.coalesce(F.col("_size") >= least, F.lit(False))
+    free, rows = [0] * shards, [0] * shards
+    for r in state.groupBy("shard").agg(F.count("*").alias("rows"), F.count_if(~active).alias("free")).collect():
+        free[r["shard"]], rows[r["shard"]] = r["free"], r["rows"]
     stuck = [False] * shards
+    fewest, waited = None, 0
 
     for turn in range(1, rounds + 1):
-        members = state.filter(F.col("_group").isNotNull())
+        members = state.filter(active)
         votes = members.groupBy("_group").agg(
             F.array(*[F.count(F.when(F.col("shard") == s, 1)) for s in range(shards)]).alias("_votes")
         )
-        votes = stored(votes, folder, f"votes{turn}")
-        most = votes.agg(*[F.max(F.col("_votes")[s]) for s in range(shards)]).first()
-        full = [(most[s] or 0) >= rows.get(s, 0) for s in range(shards)]
+        votes = stored(votes, folder, f"votes{phase}_{turn}")
+        held = F.size(F.filter("_votes", lambda v: v > 0))
+        found = votes.agg(F.sum(held).alias("held"), *[F.max(F.col("_votes")[s]).alias(f"most{s}") for s in range(shards)]).first()
+        fewest, waited = (found["held"], 0) if fewest is None or (found["held"] or 0) < fewest else (fewest, waited + 1)
+        full = [(found[f"most{s}"] or 0) >= rows[s] for s in range(shards)]
         if all(a or b for a, b in zip(full, stuck)):
             stuck = [False] * shards
         is_open = [not a and not b for a, b in zip(full, stuck)]
-        if not any(is_open):
+        if not any(is_open) or waited > PATIENCE:
             break
         votes = votes.withColumn("_best", _best("_votes", is_open, turn))
         # lots move members to shards with fewer of them, but not out of a closed one, nor to where there are none
         drawn = F.lit(turn > SURE_ROUNDS) & F.array(*map(F.lit, is_open))[F.col("shard")] & (F.col("_best.votes") > 0)
         wishing = members.join(votes, "_group").select(
-            "_row",
-            "_group",
-            "shard",
+            *names,
             F.when(
                 (F.col("_best.shard") != F.col("shard")) & ((F.col("_best.votes") >= F.element_at("_votes", F.col("shard") + 1)) | drawn),
                 F.col("_best.shard"),
             ).alias("_to"),
             F.floor(F.log2(F.col("_best.votes") + 1)).cast("int").alias("_class"),
         )
-        rest = state.filter(F.col("_group").isNull()).select(
-            "_row", "_group", "shard", F.lit(None).cast("int").alias("_to"), F.lit(0).alias("_class")
-        )
-        wishing = stored(wishing.unionByName(rest), folder, f"wishes{turn}")
+        rest = state.filter(~active).select(*names, F.lit(None).cast("int").alias("_to"), F.lit(0).alias("_class"))
+        wishing = stored(wishing.unionByName(rest), folder, f"wishes{phase}_{turn}")
         wishes = [[0] * shards for _ in range(shards)]
         for r in wishing.filter(F.col("_to").isNotNull()).groupBy("shard", "_to").count().collect():
             wishes[r["shard"]][r["_to"]] = r["count"]
@@ -147,9 +161,9 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
             break
         # larger groups first: classes count down
         pool = F.struct((-F.col("_class")).alias("class"), _bucket(buckets).alias("bucket"))
-        of_pool = wishing.withColumn("_pool", F.when(F.col("_group").isNull(), -1).otherwise(F.col("_to")))
+        of_pool = wishing.withColumn("_pool", F.when(active, F.col("_to")).otherwise(-1))
         moving = of_pool.filter(F.col("_pool").isNotNull())
-        staying = of_pool.filter(F.col("_pool").isNull()).select("_row", "_group", "shard")
+        staying = of_pool.filter(F.col("_pool").isNull()).select(*names)
         ranked = numbered(moving, ["shard", "_pool"], pool, [F.col("_row")], "_rank")
         grant = F.lit(0)
         for i in range(shards):
@@ -165,8 +179,8 @@ def propagate(links: DataFrame, shards: int, folder: str, rounds: int = ROUNDS)
                     dealt = F.when(here, i).otherwise(dealt)
                     at += returned[j][i]
         after = F.when(F.col("_pool") == -1, dealt).when(F.col("_rank") < grant, F.col("_pool")).otherwise(F.col("shard"))
-        moved = ranked.select("_row", "_group", after.cast("int").alias("shard")).unionByName(staying)
-        state = stored(moved, folder, f"round{turn}")
+        moved = ranked.select("_row", "_group", "_size", after.cast("int").alias("shard")).unionByName(staying)
+        state = stored(moved, folder, f"round{phase}_{turn}")
         free = [free[s] - sum(returned[s]) + sum(returned[j][s] for j in range(shards)) for s in range(shards)]
     return state
 
