@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -14,6 +14,9 @@ from .tokens import ids_of_all
 
 ship(__name__, tokens.__name__)
 
+#: Bits of the filter of missing digests: 128 KB.
+FILTER_BITS = 1 << 20
+
 CACHE = "digest binary, n_tokens long, version string"
 
 
@@ -31,11 +34,31 @@ def read_cache(spark: SparkSession, folder: str, version: str) -> DataFrame:
     return spark.read.schema(CACHE).parquet(folder).filter(F.col("version") == version).select("digest", "n_tokens")
 
 
+def _filter_bit(digest: Column) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(FILTER_BITS)).cast("int")
+
+
+def maybe_missing(missing: DataFrame) -> Column:
+    """A condition that holds for the digest of every row of ``missing`` and for few others, worked out in each task.
+
+    The filter has ``FILTER_BITS`` bits whatever the number of digests; beyond that number it lets most pass.
+    """
+    bit = missing.select(_filter_bit(F.col("digest")).alias("bit")).distinct()
+    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits"))
+    bitmap = [0] * (FILTER_BITS // 64)
+    for row in words.collect():
+        bitmap[row["word"]] = row["bits"]
+    known = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
+    mine = _filter_bit(F.col("digest"))
+    return F.getbit(F.get(known, F.shiftright(mine, 6)), mine.bitwiseAND(F.lit(63))) == 1
+
+
 def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 512) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every document.
 
-    Texts meet the cache by the sha-256 of their UTF-8 bytes; a null text is the empty text. Only texts
-    that the cache lacks are shuffled, once each and task, and encoded once; their counts are appended,
+    Texts meet the cache by the sha-256 of their UTF-8 bytes; a null text is the empty text. Digests alone are
+    joined to the stored counts; a filter of the missing ones then picks, in the task that reads them, the texts
+    to shuffle: those that the cache lacks, and few others. Each is encoded once; their counts are appended,
     so a run after a failure or over more documents starts from what is there. Rows are kept as they
     are, null and repeated ``doc_id`` too; other columns are not read. Two jobs that append at once may
     store a digest twice, which reading evens out.
@@ -52,14 +75,16 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 512) -> Da
             counts = [len(ids) // 4 for ids in ids_of_all(path, texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
+    folder = work_folder(spark, "counted")
     known = read_cache(spark, cache, version)
-    misses = keyed.select("digest", "bytes").groupBy("digest").agg(F.first("bytes").alias("bytes"))
-    misses = misses.join(known, "digest", "left_anti").select("digest", "bytes")
+    missing = stored(keyed.select("digest").distinct().join(known, "digest", "left_anti"), folder, "missing")
+    picked = keyed.select("digest", "bytes").filter(maybe_missing(missing))
+    misses = picked.groupBy("digest").agg(F.first("bytes").alias("bytes")).join(missing, "digest", "left_semi").select("digest", "bytes")
     counted = misses.mapInArrow(run, "digest binary, n_tokens long").withColumn("version", F.lit(version))
     counted.write.mode("append").parquet(cache)
     # stored first: right after an aggregate, adaptive execution could not split the join at a hot digest
     counts = read_cache(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    counts = stored(counts, work_folder(spark, "counted"), "counts")
+    counts = stored(counts, folder, "counts")
     slim = keyed.select("doc_id", "digest", F.octet_length("bytes").cast("long").alias("n_bytes"))
     return slim.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
