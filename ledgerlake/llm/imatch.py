@@ -1,8 +1,10 @@
 """I-Match fingerprints: the terms of a document in a band of inverse document frequency, sorted, and
 hashed over several randomised lexicon subsets.
 
-Document frequencies are counted over all documents, by classes of terms: a term's class is its hash
-modulo ``CLASSES``, so the lexicon is a bitmap of fixed size however large the vocabulary grows. A subset
+Document frequencies are counted over all documents, by the 64-bit hash of a term. The band has two ends: terms
+of more than a fifth of the documents go, and so do those of one document only, or of less than a
+ten-thousandth. The terms left are at most the mean number of terms a document times 10,000, however large the
+corpus, so their bitmap, sixteen bits a term looked up at two places, has a bound. A subset
 at level l keeps a term whose hash has l given bits zero, so it holds a 2^-l share of the lexicon. A
 document uses the levels at which two to four, and one to two, of its terms are left in a subset; prints
 of documents of like length share a level, and their likeness is the share of its subsets that agree.
@@ -10,16 +12,18 @@ of documents of like length share a level, and their likeness is the share of it
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_of
+from .common import stored, text_of, work_folder
 
-CLASSES = 1 << 18
 SUBSETS = 16
 MAX_LEVEL = 18
-MIN_SHARE, MAX_SHARE = 2e-6, 0.2
+LEAST_DOCUMENTS, MIN_SHARE, MAX_SHARE = 2, 1e-4, 0.2
+BITS_PER_TERM, LEAST_BITS = 16, 1 << 12
 LEAST_ID = -(1 << 63)
 #: Ranges of ids for each shuffle partition, so that these come out even.
 RANGES_PER_TASK = 4
@@ -32,51 +36,59 @@ def term_hashes(text: Column) -> Column:
     return F.array_sort(F.transform(kept, lambda w: F.xxhash64(w)))
 
 
-def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> Column:
-    """The classes of terms whose share of all documents lies in the band, as a constant bitmap.
+@dataclass(frozen=True)
+class Lexicon:
+    """The terms in the band, as a bitmap of ``bits`` bits in a constant array of 64-bit words."""
+
+    bits: int
+    words: Column
+
+    def holds(self, h: Column) -> Column:
+        def is_set(place: Column) -> Column:
+            at = F.pmod(place, F.lit(self.bits)).cast("int")
+            return F.getbit(F.get(self.words, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63))) == 1
+
+        return is_set(h) & is_set(F.xxhash64(h))
+
+
+def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> Lexicon:
+    """The terms whose share of all documents lies in the band, and that stand in two documents at least.
 
     An inverse document frequency of ln(1 / share), so the band is -ln(max_share) to -ln(min_share).
-    ``CLASSES`` / 64 numbers come to the driver, whatever the number of documents or of terms.
     """
-    classes = F.array_distinct(F.transform(term_hashes(F.col("text")), lambda h: F.pmod(h, F.lit(CLASSES)).cast("int")))
-    found = docs.select(F.explode(classes).alias("class")).groupBy("class").agg(F.count("*").alias("df"))
+    folder = work_folder(docs.sparkSession, "lexicon")
+    found = docs.select(F.explode(term_hashes(F.col("text"))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
     n = docs.count()
-    kept = found.filter((F.col("df") <= max_share * n) & (F.col("df") >= min_share * n))
-    words = kept.groupBy(F.shiftright("class", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, class & 63)")).alias("bits")
-    )
-    bitmap = [0] * (CLASSES // 64)
+    least = max(LEAST_DOCUMENTS, min_share * n)
+    kept = stored(found.filter((F.col("df") <= max_share * n) & (F.col("df") >= least)).select("h"), folder, "kept")
+    wanted, bits = BITS_PER_TERM * kept.count(), LEAST_BITS
+    while bits < wanted:
+        bits *= 2
+    place = F.explode(F.array(F.col("h"), F.xxhash64("h")))
+    places = kept.select(place.alias("place")).select(F.pmod("place", F.lit(bits)).alias("bit"))
+    words = places.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    bitmap = [0] * (bits // 64)
     for row in words.collect():
         bitmap[row["word"]] = row["bits"]
-    return F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
-
-
-def prints_of(terms: Column, known: Column) -> Column:
-    """(level, low, high) of sorted hashes: the hashes of the subsets at ``level`` and at the next.
-
-    A subset without terms gives null. Where the band leaves no term all terms are kept; where there
-    are none at all, every subset is null.
-    """
-    def in_band(h: Column) -> Column:
-        c = F.pmod(h, F.lit(CLASSES)).cast("int")
-        return F.getbit(F.get(known, F.shiftright(c, 6)), c.bitwiseAND(F.lit(63))) == 1
-
-    banded = F.filter(terms, in_band)
-    return F.when(F.size(banded) > 0, banded).otherwise(terms)
+    return Lexicon(bits, F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>"))
 
 
 _SUBSET = "filter({terms}, t -> (shiftrightunsigned(t, 3 * s) & (shiftleft(1L, {level}) - 1)) = 0)"
 
 
-def fingerprint(df: DataFrame, text: str, known: Column, name: str) -> DataFrame:
-    """``df`` with ``name``: struct (level, low, high) of the text in column ``text``."""
+def fingerprint(df: DataFrame, text: str, known: Lexicon, name: str) -> DataFrame:
+    """``df`` with ``name``: struct (level, low, high) of the text in column ``text``.
+
+    The hashes of the subsets at ``level`` and at the next; a subset without terms is null, and so are all subsets
+    of a text that the lexicon leaves no term.
+    """
     last = SUBSETS - 1
     subsets = f"transform(sequence(0, {last}), s -> {_SUBSET.format(terms='_kept', level='_level')})"
     nexts = f"transform(sequence(0, {last}), s -> {_SUBSET.format(terms='get(_subsets, s)', level='_level + 1')})"
     hashed = "transform({0}, a -> if(size(a) > 0, xxhash64(a), null))"
     return (
         df.withColumn("_terms", term_hashes(F.col(text)))
-        .withColumn("_kept", prints_of(F.col("_terms"), known))
+        .withColumn("_kept", F.filter("_terms", known.holds))
         .withColumn("_level", F.expr(f"least(greatest(cast(floor(log2(greatest(size(_kept), 1))) as int) - 1, 0), {MAX_LEVEL - 1})"))
         .withColumn("_subsets", F.expr(subsets))
         .withColumn("_nexts", F.expr(nexts))
