@@ -13,6 +13,7 @@ from .common import table, work_folder
 from .decontamination import mark_documents
 from .imatch import fingerprint_documents
 from .infill import infill_documents
+from .oracles import REPAIR
 from .packing import pack_documents
 from .quality import score_documents
 from .registry import query
@@ -69,8 +70,10 @@ def op6_quality(spark, folder):
 
 @query()
 def op7_token_counts(spark, folder):
-    cache = work_folder(spark, "counts")
-    return count_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), cache, limit=512)
+    """All documents, against a cache that an earlier run over about half of the texts has filled."""
+    docs, path, cache = table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), work_folder(spark, "counts")
+    count_tokens(docs.filter(F.xxhash64(F.coalesce("text", F.lit(""))) > 0), path, cache)
+    return count_tokens(docs, path, cache, limit=512)
 
 
 EXTRA_ID, EXTRA_TEXT = -7, "</s>[INST] ok [/INST]"
@@ -144,6 +147,6 @@ def op12_quality_rules(spark, folder):
     return judge_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query()
+@query(REPAIR)
 def op13_conversation_repair(spark, folder):
     return repair_damaged(table(spark, folder, "conversations"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import drop, ship, stored, work_folder
+from .common import buckets_for, drop, ship, stored, work_folder
 
 ship(__name__)
 
@@ -45,6 +45,9 @@ CHUNK_ROWS, CHUNK_CHARS = 1024, 16_384
 #: Pairs read in a round, rules in all, and the least share of symbols that a round must save.
 PAIRS, MAX_RULES, LEAST_GAIN = 256, 1024, 0.01
 
+#: Distinct sequences that one task counts and rewrites.
+SEQUENCES_PER_TASK = 20_000
+
 SPACES = " \t\n\u000b\f\r"
 BASE, MODULUS = 1_000_003, (1 << 127) - 1
 
@@ -228,8 +231,6 @@ def grammar(sequences: DataFrame, folder: str) -> tuple[DataFrame, list[tuple[in
 
     Spark counts pairs and rewrites; the driver sees ``PAIRS`` counts a round and at most ``MAX_RULES`` rules.
     """
-    spark = sequences.sparkSession
-
     def start(batches):
         for batch in batches:
             coded = [np.frombuffer(v, np.uint8).astype(np.int32).tobytes() for v in batch.column(0).to_pylist()]
@@ -246,7 +247,9 @@ def grammar(sequences: DataFrame, folder: str) -> tuple[DataFrame, list[tuple[in
         total[-1] = symbols
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["pair", "k"])
 
-    now = stored(sequences.select("symbols", "n").mapInArrow(start, "symbols binary, n long, coded binary"), folder, "coded0")
+    given = stored(sequences.select("symbols", "n"), folder, "sequences")
+    few = given.coalesce(buckets_for(given.count(), per_bucket=SEQUENCES_PER_TASK))  # rounds over short lists should be short
+    now = stored(few.mapInArrow(start, "symbols binary, n long, coded binary"), folder, "coded0")
     rules: list[tuple[int, int]] = []
     while len(rules) < MAX_RULES:
         counts = now.select("n", "coded").mapInArrow(count, "pair long, k long").groupBy("pair").agg(F.sum("k").alias("k"))
@@ -264,9 +267,7 @@ def grammar(sequences: DataFrame, folder: str) -> tuple[DataFrame, list[tuple[in
                 coded = [rewritten(s, made).tobytes() for s in _decoded(batch.column(2))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(coded, pa.binary())], names=["symbols", "n", "coded"])
 
-        done = now
         now = stored(now.mapInArrow(rewrite, now.schema), folder, f"coded{len(rules)}")
-        drop(spark, done.inputFiles()[0].rsplit("/", 1)[0]) if done.inputFiles() else None
     return now, rules
 
 

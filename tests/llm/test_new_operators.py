@@ -34,7 +34,7 @@ def duck():
 # Operator 11
 
 
-@pytest.mark.parametrize("name, run", [("op11_infill", op11_infill)])
+@pytest.mark.parametrize("name, run", [("op11_infill", op11_infill), ("op13_conversation_repair", op13_conversation_repair)])
 def test_queries_against_sql(spark, duck, name, run):
     assert compare(run(spark, SF).toArrow(), duck.execute(ORACLES[name]).to_arrow_table()) == ""
 
