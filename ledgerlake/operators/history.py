@@ -30,6 +30,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .changelog import MAIN, OP, VERSION
 from .checks import observed_values
@@ -190,16 +191,42 @@ class VersionedTable:
         version = self.head(branch) if version is None else version
         if version is None:
             return self.spark.createDataFrame([], self.schema).select(*self.keys, *wanted)
-        state, after = self._parts(version)
-        rows = self._changes(after)
-        rows = (rows if ranges is None else rows.where(self._range().isin(list(ranges)))).select(*self.keys, *wanted, OP, VERSION)
-        newest = rows.groupBy(*self.keys).agg(F.max(VERSION).alias(VERSION))
-        same = _on([*self.keys, VERSION], "r", "n")
-        last = rows.alias("r").join(newest.alias("n"), same, "left_semi").where(F.col(OP) != "D").drop(OP, VERSION)
-        if state is None:
+        bottom, later = self._layers(version, ranges)
+        if later is None:
+            return bottom.select(*self.keys, *wanted)
+        last = self._last(later, ranges).where(F.col(OP) != "D").select(*self.keys, *wanted)
+        if bottom is None:
             return last
-        kept = self._state(state, ranges).select(*self.keys, *wanted).alias("s").join(newest.alias("n"), _on(self.keys, "s", "n"), "left_anti")
-        return kept.unionByName(last)
+        above = self._newest(later, ranges).alias("n")
+        return bottom.select(*self.keys, *wanted).alias("s").join(above, _on(self.keys, "s", "n"), "left_anti").unionByName(last)
+
+    def _layers(self, version: int, ranges: Sequence[int] | None = None) -> tuple[DataFrame | None, list[int] | DataFrame | None]:
+        """What a version is made of: the rows at the bottom, a stored state or the oldest version, and the versions above, if any."""
+        state, after = self._parts(version)
+        if state is not None:
+            return self._state(state, ranges), after if not isinstance(after, list) or after else None
+        if not isinstance(after, list):
+            return None, after
+        oldest, *later = sorted(after)
+        return self._in(self._changes([oldest]), ranges).where(F.col(OP) != "D"), later or None
+
+    def _in(self, rows: DataFrame, ranges: Sequence[int] | None) -> DataFrame:
+        return rows if ranges is None else rows.where(self._range().isin(list(ranges)))
+
+    def _newest(self, versions: list[int] | DataFrame, ranges: Sequence[int] | None = None) -> DataFrame:
+        """The keys in change rows of some versions, each with its newest one; of a single version as they come."""
+        rows = self._in(self._changes(versions), ranges).select(*self.keys, VERSION)
+        single = isinstance(versions, list) and len(versions) == 1
+        return rows if single else rows.groupBy(*self.keys).agg(F.max(VERSION).alias(VERSION))
+
+    def _last(self, versions: list[int] | DataFrame, ranges: Sequence[int] | None = None) -> DataFrame:
+        """The change rows of some versions that no later one of them replaces. One version has no others to be joined with."""
+        rows = self._in(self._changes(versions), ranges)
+        if isinstance(versions, list) and len(versions) == 1:
+            return rows
+        # Not an equation of versions, so that rows are dealt by their keys alone, as later joins want them.
+        newest = _on(self.keys, "r", "n") & (F.col(f"r.{VERSION}") >= F.col(f"n.{VERSION}"))
+        return rows.alias("r").join(self._newest(versions, ranges).alias("n"), newest, "left_semi")
 
     def read_first(self, branch: str = MAIN) -> DataFrame:
         """The table at the oldest version of a branch's line."""
@@ -236,8 +263,17 @@ class VersionedTable:
 
     def store_state(self, version: int) -> None:
         """Keep the whole table at a version, so that later reads start from it, with a digest of each range of keys."""
-        rows = self.read(version).withColumn("_range", self._range()).hint("rebalance", "_range")
-        rows.write.mode("overwrite").partitionBy("_range").parquet(f"{self.folder}/states/_state={version}")
+        state, after = self._parts(version)
+        rows = self._changes(after).select(*self.keys, *self.columns, OP, VERSION)
+        if state is not None:
+            rows = rows.unionByName(self._state(state).withColumns({OP: F.lit("I"), VERSION: F.lit(-1).cast("long")}))
+        # Rows move once, by parts of ranges: the newest of each key is found where its file is written.
+        parts = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.ranges)
+        dealt = rows.withColumns({"_range": self._range(), "_part": F.pmod(F.xxhash64(F.lit(1), *self.keys), F.lit(parts))}).repartition("_range", "_part")
+        newest = F.max(VERSION).over(Window.partitionBy("_range", "_part", *self.keys))
+        alive = dealt.withColumn("_newest", newest).where((F.col(VERSION) == F.col("_newest")) & (F.col(OP) != "D"))
+        alive = alive.select(*self.keys, *self.columns, "_range")
+        alive.write.mode("overwrite").partitionBy("_range").parquet(f"{self.folder}/states/_state={version}")
         written = self._stored("states", f"{self.schema}, _state long, _range int").where(F.col("_state") == version)
         h = F.xxhash64(*self.keys, *self.columns)
         digests = written.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(20,0)")).alias("total"))
@@ -376,7 +412,8 @@ class VersionedTable:
             table = table.observe(seen, *_tests(checks))
         marked = self.read(branch=branch).withColumn("side", F.lit(0)).unionByName(table.select(*self.keys, *self.columns).withColumn("side", F.lit(1)))
         row = F.struct(*self.columns)
-        sides = marked.groupBy(*self.keys).agg(
+        # Keys hardly repeat, so rows are moved as they are, and not as wider partial aggregates.
+        sides = marked.repartition(*self.keys).groupBy(*self.keys).agg(
             F.count_if(F.col("side") == 1).alias("times"),
             F.any_value(F.when(F.col("side") == 0, row), True).alias("old"),
             F.any_value(F.when(F.col("side") == 1, row), True).alias("new"),

@@ -231,3 +231,34 @@ def test_compared_tables_without_common_rows(spark):
     a.commit(changes(spark, [(1, "a", 1, "I"), (None, "n", 1, "I")]), "one", TS)
     b.commit(changes(spark, [(2, "b", 2, "I"), (1, "a", 1, "I")]), "one", TS)
     assert {(r["id"], r["mine"] is None, r["theirs"] is None) for r in a.compare(1, b, 1).collect()} == {(None, False, True), (2, True, False)}
+
+
+def test_a_read_joins_later_versions_only(spark):
+    history = new(spark)
+    history.commit(changes(spark, [(1, "a", 1, "I"), (1, "twice", 1, "I"), (2, "b", 2, "D"), (None, "n", 3, "I")]), "one", TS)
+    plan = plan_of(history.read())
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted(tuple(r) for r in history.read().where("id IS NOT NULL").collect()) == [(1, "a", 1), (1, "twice", 1)]
+    history.commit(changes(spark, [(1, "c", 1, "U"), (1, "d", 1, "U"), (4, "e", 4, "D"), (None, "m", 3, "U")]), "two", TS)
+    plan = plan_of(history.read())
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
+    rows = {(1, "c", 1), (1, "d", 1), (None, "m", 3)}
+    assert {tuple(r) for r in history.read().collect()} == rows
+    history.commit(changes(spark, [(4, "f", 4, "I")]), "three", TS)
+    history.store_state(3)
+    assert "/log" not in plan_of(history.read()) and {tuple(r) for r in history.read().collect()} == rows | {(4, "f", 4)}
+
+
+def test_rows_move_once_into_a_state(spark, monkeypatch):
+    plans = []
+    from pyspark.sql import DataFrameWriter
+
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a: (plans.append((path, plan_of(self._df))), write(self, path, *a))[1])
+    history = new(spark)
+    for v in range(3):
+        history.commit(changes(spark, [(v, "a", v, "I"), (0, "z", v, "U")]), "c", TS)
+    history.store_state(3)
+    (plan,) = [p for path, p in plans if "/states/" in path]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert state(history.read()) == {0: ("z", 2), 1: ("a", 1), 2: ("a", 2)}
