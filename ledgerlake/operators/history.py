@@ -294,29 +294,69 @@ class VersionedTable:
         """The versions that one of two lines has and the other has not."""
         first, second = self.commit_at(a)["line"], self.commit_at(b)["line"]
         rows = self.commits.where(self._within(first) != self._within(second)).select("version")
-        few = [r["version"] for r in rows.limit(MAX_NAMED + 1).collect()]
+        few = sorted(r["version"] for r in rows.limit(MAX_NAMED + 1).collect())
         return few if len(few) <= MAX_NAMED else rows
 
-    def _sides(self, versions: Mapping[str, int], touched: DataFrame) -> DataFrame:
-        """Per touched key a struct of the data columns at each version, null where the key is not there."""
-        out = touched.alias("k")
-        ranges = sorted(r["r"] for r in touched.select(self._range().alias("r")).distinct().collect())  # at most ``ranges``
+    def _sides(self, versions: Mapping[str, int], old: int, new: int) -> DataFrame:
+        """Per key that changed between two versions, a struct of the data columns at each of ``versions``, null where the key is not there.
+
+        The first of ``versions`` is the common past of the others, where it is on their lines: they are then looked up in
+        the change rows since, and below these in the layers of the first, whose exchanges are made once.
+        """
+        between = self._between(old, new)
+        changed = self._changes(between)
+        found = sorted(r["r"] for r in changed.select(self._range().alias("r")).distinct().collect())  # at most ``ranges``
+        ranges = found if len(found) < self.ranges else None
+        out = changed.select(*self.keys).distinct()
+        past = next(iter(versions.values()))
         for name, version in versions.items():
-            keyed = self.read(version, ranges=ranges if len(ranges) < self.ranges else None).alias("t").join(touched.alias("k"), _on(self.keys, "t", "k"), "left_semi")
-            side = keyed.select(*self.keys, F.struct(*self.columns).alias(name)).alias("s")
-            out = out.join(side, _on(self.keys, "k", "s"), "left").select("k.*", f"s.{name}").alias("k")
+            since = self._since(past, version)
+            if since is None:
+                layers = self._stack(version, ranges)
+            else:
+                # Every changed key is in the change rows that made the list of keys.
+                below = [] if since and since == between else self._stack(past, ranges)
+                layers = ([self._last(since, ranges)] if since else []) + below
+            out = self._looked_up(out, name, layers)
         return out
 
+    def _since(self, past: int, version: int) -> list[int] | None:
+        """The versions after ``past`` on the line of another, at most ``every``; None if ``past`` is not on it, or more are."""
+        before, line = self.commit_at(past)["line"], self.commit_at(version)["line"]
+        if any(line.get(b, 0) < v for b, v in before.items()):
+            return None
+        found = self._between(past, version)
+        return found if isinstance(found, list) and len(found) <= self.every else None
+
+    def _stack(self, version: int, ranges: Sequence[int] | None) -> list[DataFrame]:
+        """Rows in layers, newest first: the last change rows above, which have ``_op``, and the rows at the bottom."""
+        bottom, later = self._layers(version, ranges)
+        return ([self._last(later, ranges)] if later is not None else []) + ([bottom] if bottom is not None else [])
+
+    def _looked_up(self, out: DataFrame, name: str, layers: Sequence[DataFrame]) -> DataFrame:
+        """``out`` with a struct of the data columns from the first layer that has the key; null if that deletes it, or none has it."""
+        kept = [F.col(f"k.{c}") for c in out.columns]
+        row, is_found = F.lit(None), F.lit(False)
+        for layer in layers:
+            alive = layer.where(F.col(OP) != "D") if OP in layer.columns else layer
+            side = alive.select(*self.keys, F.struct(*self.columns).alias("_row")).alias("s")
+            joined = out.withColumns({"_row_above": row, "_found": is_found}).alias("k").join(side, _on(self.keys, "k", "s") & ~F.col("k._found"), "left")
+            is_there = F.col("k._found") | F.col("s._row").isNotNull()
+            out = joined.select(*kept, F.coalesce("k._row_above", "s._row").alias("_row"), is_there.alias("_found"))
+            if OP in layer.columns and layer is not layers[-1]:
+                dead = layer.where(F.col(OP) == "D").select(*self.keys).distinct().withColumn("_dead", F.lit(True)).alias("d")
+                joined = out.alias("k").join(dead, _on(self.keys, "k", "d"), "left")
+                out = joined.select(*kept, "k._row", (F.col("k._found") | F.col("d._dead").isNotNull()).alias("_found"))
+            row, is_found = F.col("_row"), F.col("_found")
+        return out.select(*[c for c in out.columns if c not in ("_row", "_found")], row.alias(name))
+
     def _same(self, a: str, b: str) -> Column:
         equal = [F.col(a)[c].eqNullSafe(F.col(b)[c]) for c in self.columns]
         return reduce(Column.__and__, equal, F.col(a).isNull() == F.col(b).isNull())
 
-    def _touched(self, versions: DataFrame | list[int]) -> DataFrame:
-        return self._changes(versions).select(*self.keys).distinct()
-
     def diff(self, old: int, new: int) -> DataFrame:
         """Rows added, removed or changed between two versions of any branches, with old and new values."""
-        sides = self._sides({"old": old, "new": new}, self._touched(self._between(old, new)))
+        sides = self._sides({"old": old, "new": new}, old, new)
         change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
         values = [F.col(side)[c].alias(f"{side}_{c}") for side in ("old", "new") for c in self.columns]
         return sides.where(~self._same("old", "new")).select(*self.keys, change.alias("change"), *values)
@@ -432,7 +472,7 @@ class VersionedTable:
     def rollback(self, version: int, message: str, ts: datetime | str, branch: str = MAIN) -> int:
         """Bring a branch back to what it, or any branch, was at a version, as a new commit."""
         now = self.head(branch)
-        sides = self._sides({"now": now, "then": version}, self._touched(self._between(now, version)))
+        sides = self._sides({"then": version, "now": now}, version, now)
         return self.commit(self._turned(sides, "now", "then"), message, ts, branch, expected_head=now)
 
     def merge_sides(self, source: str, target: str) -> DataFrame:
@@ -441,7 +481,7 @@ class VersionedTable:
         base = self.base(theirs, ours)
         if base is None:
             raise ValueError(f"{source} and {target} have no version in common")
-        sides = self._sides({"base": base, "source": theirs, "target": ours}, self._touched(self._between(base, theirs)))
+        sides = self._sides({"base": base, "source": theirs, "target": ours}, base, theirs)
         changed = sides.where(~self._same("base", "source") & ~self._same("source", "target"))
         return changed.withColumn("is_conflict", ~self._same("base", "target"))
 

@@ -262,3 +262,19 @@ def test_rows_move_once_into_a_state(spark, monkeypatch):
     (plan,) = [p for path, p in plans if "/states/" in path]
     assert plan.count("Exchange") == 1 and "Join" not in plan
     assert state(history.read()) == {0: ("z", 2), 1: ("a", 1), 2: ("a", 2)}
+
+
+def test_sides_share_the_layers_of_their_past(spark):
+    history = new(spark, every=3)
+    history.commit(changes(spark, [(i, "a", i, "I") for i in range(6)] + [(0, "b", 0, "I")]), "load", TS)
+    history.create_branch("dev")
+    history.commit(changes(spark, [(0, "x", 0, "U"), (0, "xx", 0, "U"), (1, "x", 1, "U"), (2, "a", 2, "D"), (3, "x", 3, "U"), (3, "a", 3, "D")]), "dev", TS, "dev")
+    history.commit(changes(spark, [(1, "x2", 1, "U"), (7, "n", 7, "I")]), "more", TS, "dev")
+    history.commit(changes(spark, [(0, "y", 0, "U"), (1, "y", 1, "U"), (3, "y", 3, "U")]), "main", TS)
+    sides = history.merge_sides("dev", "main")
+    assert "/states/" not in plan_of(sides)  # dev's head has a state, but its changes since the base say all
+    found = sorted((r["id"], *(r[s] and r[s]["name"] for s in ("base", "source", "target")), r["is_conflict"]) for r in sides.where("id <> 0").collect())
+    assert found == [(1, "a", "x2", "y", True), (2, "a", None, "a", False), (3, "a", "x", "y", True), (7, None, "n", None, False)]
+    # Rows of one key meet each other side's, as many as there are.
+    assert {(r["base"]["name"], r["source"]["name"], r["target"]["name"]) for r in sides.where("id = 0").collect()} == {(b, s, "y") for b in "ab" for s in ("x", "xx")}
+    assert {r["id"]: r["change"] for r in history.diff(3, 1).collect()} == {0: "changed", 1: "changed", 2: "added", 3: "changed", 7: "removed"}
