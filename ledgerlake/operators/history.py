@@ -290,9 +290,19 @@ class VersionedTable:
 
     # Comparing versions
 
-    def _between(self, a: int, b: int) -> DataFrame | list[int]:
+    def _lines(self, versions: Sequence[int]) -> dict[int, dict[str, int]]:
+        """The lines of some versions, all in one job."""
+        rows = self.commits.where(F.col("version").isin(list(versions))).select("version", "line").collect()
+        found = {r["version"]: r["line"] for r in rows}
+        for version in versions:
+            if version not in found:
+                raise ValueError(f"unknown version {version}")
+        return found
+
+    def _between(self, first: Mapping[str, int], second: Mapping[str, int]) -> DataFrame | list[int]:
         """The versions that one of two lines has and the other has not."""
-        first, second = self.commit_at(a)["line"], self.commit_at(b)["line"]
+        if first == second:
+            return []
         rows = self.commits.where(self._within(first) != self._within(second)).select("version")
         few = sorted(r["version"] for r in rows.limit(MAX_NAMED + 1).collect())
         return few if len(few) <= MAX_NAMED else rows
@@ -300,34 +310,27 @@ class VersionedTable:
     def _sides(self, versions: Mapping[str, int], old: int, new: int) -> DataFrame:
         """Per key that changed between two versions, a struct of the data columns at each of ``versions``, null where the key is not there.
 
-        The first of ``versions`` is the common past of the others, where it is on their lines: they are then looked up in
-        the change rows since, and below these in the layers of the first, whose exchanges are made once.
+        The first of ``versions`` is ``old``, the common past of the others, where it is on their lines: they are then
+        looked up in the change rows since, and below these in the layers of the first, whose exchanges are made once.
         """
-        between = self._between(old, new)
+        lines = self._lines([*versions.values()])
+        between = self._between(lines[old], lines[new])
         changed = self._changes(between)
         found = sorted(r["r"] for r in changed.select(self._range().alias("r")).distinct().collect())  # at most ``ranges``
         ranges = found if len(found) < self.ranges else None
-        out = changed.select(*self.keys).distinct()
-        past = next(iter(versions.values()))
+        out, below = changed.select(*self.keys).distinct(), self._stack(old, ranges)
         for name, version in versions.items():
-            since = self._since(past, version)
-            if since is None:
+            after_old = all(lines[version].get(b, 0) >= v for b, v in lines[old].items())
+            since = between if version == new else self._between(lines[old], lines[version]) if after_old else None
+            if not after_old or not isinstance(since, list) or len(since) > self.every:
                 layers = self._stack(version, ranges)
+            elif since and since == between:  # the keys are those of these very change rows
+                layers = [self._last(since, ranges)]
             else:
-                # Every changed key is in the change rows that made the list of keys.
-                below = [] if since and since == between else self._stack(past, ranges)
-                layers = ([self._last(since, ranges)] if since else []) + below
+                layers = [*([self._last(since, ranges)] if since else []), *below]
             out = self._looked_up(out, name, layers)
         return out
 
-    def _since(self, past: int, version: int) -> list[int] | None:
-        """The versions after ``past`` on the line of another, at most ``every``; None if ``past`` is not on it, or more are."""
-        before, line = self.commit_at(past)["line"], self.commit_at(version)["line"]
-        if any(line.get(b, 0) < v for b, v in before.items()):
-            return None
-        found = self._between(past, version)
-        return found if isinstance(found, list) and len(found) <= self.every else None
-
     def _stack(self, version: int, ranges: Sequence[int] | None) -> list[DataFrame]:
         """Rows in layers, newest first: the last change rows above, which have ``_op``, and the rows at the bottom."""
         bottom, later = self._layers(version, ranges)

@@ -278,3 +278,17 @@ def test_sides_share_the_layers_of_their_past(spark):
     # Rows of one key meet each other side's, as many as there are.
     assert {(r["base"]["name"], r["source"]["name"], r["target"]["name"]) for r in sides.where("id = 0").collect()} == {(b, s, "y") for b in "ab" for s in ("x", "xx")}
     assert {r["id"]: r["change"] for r in history.diff(3, 1).collect()} == {0: "changed", 1: "changed", 2: "added", 3: "changed", 7: "removed"}
+
+
+def test_sides_ask_the_commits_once(spark):
+    history = new(spark)
+    for v in range(3):
+        history.commit(changes(spark, [(v, "a", v, "I")]), "load", TS)
+    history.create_branch("dev")
+    history.commit(changes(spark, [(1, "x", 1, "U")]), "dev", TS, "dev")
+    asked = []
+    spied = type("Spied", (VersionedTable,), {"commits": property(lambda self: asked.append(1) or VersionedTable.commits.fget(self))})
+    table = spied(spark, history.folder, SCHEMA, ("id",))
+    rows = table._sides({"base": 3, "source": 4, "target": 3}, 3, 4).collect()
+    assert [(r["base"]["name"], r["source"]["name"], r["target"]["name"]) for r in rows] == [("a", "x", "a")]
+    assert len(asked) <= 4  # the lines, the versions between two of them, and the layers of their past
