@@ -77,6 +77,8 @@ class Encoder:
             return
         self.lower = kind == "words"
         self.split = (WORD if self.lower else PIECE).findall
+        if self.lower:  # no spaces in pieces: a word and a part of a word that are spelled alike are one entry
+            self.parts = self.spaced = Pieces(self._word, max_pieces)
         self.bytes = {i: c for i, c in enumerate(_byte_level())}
 
     @staticmethod
@@ -111,8 +113,14 @@ class Encoder:
 
     def _spaced(self, piece: str) -> bytes:
         """A piece between two single spaces, which may hold several smaller ones."""
-        parts = self.split(piece if self.lower else " " + piece)
-        return b"".join(map(self.parts.__getitem__, parts))
+        return b"".join(map(self.parts.__getitem__, self.split(" " + piece)))
+
+    def _word(self, piece: str) -> bytes:
+        """A word, or a part of one; a part is never cut again."""
+        if SIMPLE.fullmatch(piece):
+            return self._piece(piece)
+        parts = self.split(piece)
+        return self._whole(piece) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
     def ids_of(self, text: str) -> bytes:
         if (UNSAFE_ASCII if text.isascii() else UNSAFE).search(text) or any(s in text for s in self.special):

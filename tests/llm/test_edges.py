@@ -17,6 +17,7 @@ from ledgerlake.llm.simhash import near_components
 from ledgerlake.llm.suffixes import removed_summary
 from ledgerlake.llm.tokencounts import count_tokens
 from ledgerlake.llm.tokenfiles import read_token_files, write_token_files
+from ledgerlake.llm.tokens import Encoder
 
 BYTES, WORDS = vocabulary("byte_bpe_50k.json"), vocabulary("word_bpe_49k.json")
 
@@ -83,3 +84,16 @@ def test_results_of_missing_texts(nasty):
     assert sizes[5] == sizes[6] == (1, 0)
     scores = {r["score"] for r in OPERATORS["op6"](nasty).collect()}
     assert all(0 <= s <= 1 for s in scores)
+
+
+def test_words_and_their_parts_share_one_cache():
+    from tokenizers import Tokenizer
+
+    coder, plain = Encoder(WORDS, max_pieces=8), Tokenizer.from_file(WORDS)
+    calls = []
+    piece = coder._piece
+    coder._piece = lambda p: calls.append(p) or piece(p)
+    for text in ("Haus haus. Haus haus", "éa%%% abc1.x Haus, (haus) 37.5", "don't .foo!bar a-b", "one two three four five six"):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert list(memoryview(coder.ids_of(text)).cast("I")) == ids
+    assert calls.count("haus") == 1 and len(coder.spaced) == 8
