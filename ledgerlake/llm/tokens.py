@@ -2,17 +2,23 @@
 
 A text is cut where both of its parts are certain to be tokenized apart, each distinct piece goes to
 the tokenizer once per worker, and the ids of a text are the ids of its pieces joined. Texts where a
-cut could be unsafe (special strings, white space beyond ASCII) are encoded whole.
+cut could be unsafe (special strings, white space beyond ASCII) are encoded whole. With a byte-level
+vocabulary a group of texts is cut at its spaces by Arrow, and each distinct word of it is cut and looked up once.
 """
 
 from __future__ import annotations
 
+import codecs
 import gc
 import re
 import sys
 import types
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Letters and marks between which both kinds of pre-tokenizer always cut; no apostrophe, because of
 # contractions, no digits, and no İ, which lower case turns into two characters.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -29,6 +35,8 @@ OTHER_SPACES = "\t\r\x0b\x0c"
 WIDE_PAIRS = ("  ", " \n", "\n ")
 MAX_PIECES = 400_000
 MAX_PIECE_CHARS = 64
+#: Characters of the texts whose distinct words are looked up together, at most.
+GROUP_CHARS = 16 << 20
 
 
 def _byte_level() -> list[str]:
@@ -54,8 +62,6 @@ class Encoder:
         from array import array
 
         self._array = array
-        self.parts = Pieces(self._piece, max_pieces // 2)
-        self.spaced = Pieces(self._spaced, max_pieces // 2)
         if path.endswith(".model"):
             import sentencepiece
 
@@ -79,7 +85,10 @@ class Encoder:
         self.split = (WORD if self.lower else PIECE).findall
         if self.lower:  # no spaces in pieces: a word and a part of a word that are spelled alike are one entry
             self.parts = self.spaced = Pieces(self._word, max_pieces)
-        self.bytes = {i: c for i, c in enumerate(_byte_level())}
+        else:
+            self.parts = Pieces(self._piece, max_pieces)
+            self.ids_of_each = self._grouped
+        self.alphabet = "".join(_byte_level())
 
     @staticmethod
     def _kind(parts: dict) -> str | None:
@@ -107,14 +116,10 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if SIMPLE.fullmatch(piece):  # one pre-token: straight to the model
             plain = piece.lower() if self.lower else piece
-            mapped = plain.replace(" ", self.bytes[32]) if plain.isascii() else plain.encode().decode("latin-1").translate(self.bytes)
+            mapped, _ = codecs.charmap_decode(plain.encode(), "strict", self.alphabet)
             return self._pack([t.id for t in self.model.tokenize(mapped)])
         return self._whole(piece)
 
-    def _spaced(self, piece: str) -> bytes:
-        """A piece between two single spaces, which may hold several smaller ones."""
-        return b"".join(map(self.parts.__getitem__, self.split(" " + piece)))
-
     def _word(self, piece: str) -> bytes:
         """A word, or a part of one; a part is never cut again."""
         if SIMPLE.fullmatch(piece):
@@ -122,16 +127,50 @@ class Encoder:
         parts = self.split(piece)
         return self._whole(piece) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
+    def _unsafe(self, text: str) -> bool:
+        return bool((UNSAFE_ASCII if text.isascii() else UNSAFE).search(text)) or any(s in text for s in self.special)
+
     def ids_of(self, text: str) -> bytes:
-        if (UNSAFE_ASCII if text.isascii() else UNSAFE).search(text) or any(s in text for s in self.special):
+        if self._unsafe(text):
             return self._whole(text)
         if self.lower:
             return b"".join(map(self.spaced.__getitem__, text.split()))
-        if has_wide_space(text):
-            return b"".join(map(self.parts.__getitem__, self.split(text)))
-        first, *rest = text.split(" ")
-        start = b"".join(map(self.parts.__getitem__, self.split(first)))
-        return start + b"".join(map(self.spaced.__getitem__, rest))
+        return b"".join(map(self.parts.__getitem__, self.split(text)))
+
+    def ids_of_each(self, texts: Iterable[str]) -> Iterable[bytes]:
+        return map(self.ids_of, texts)
+
+    def _grouped(self, texts: Iterable[str]) -> Iterable[bytes]:
+        """The ids of each text; texts are held in groups of ``GROUP_CHARS`` characters at most."""
+        held, chars = [], 0
+        for text in texts:
+            if held and chars + len(text) > GROUP_CHARS:
+                yield from self._group(held)
+                held, chars = [], 0
+            held.append(text)
+            chars += len(text)
+        yield from self._group(held)
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text of a group, its distinct words looked up once."""
+        apart = [not t or len(t) > GROUP_CHARS or has_wide_space(t) or self._unsafe(t) for t in texts]
+        alike = [t for t, a in zip(texts, apart) if not a]
+        if not alike:
+            return [self.ids_of(t) for t in texts]
+        words = pc.split_pattern(pa.array(alike, pa.string()), " ")
+        coded = words.values.dictionary_encode()
+        # No word holds a space or has white space at an end, so the parts that start with a space start the words.
+        distinct = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        parts = self.split(" " + pc.binary_join(distinct, " ")[0].as_py())
+        ids = pa.array(list(map(self.parts.__getitem__, parts)), pa.binary())
+        first = np.flatnonzero(pc.starts_with(pa.array(parts, pa.string()), " ").to_numpy(zero_copy_only=False))
+        _, ends, data = ids.buffers()
+        starts = np.frombuffer(ends, np.int32, len(ids) + 1)[np.append(first, len(ids))]
+        whole = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(starts), data])
+        _, ends, data = whole.take(coded.indices).buffers()
+        ends, at, data = np.frombuffer(ends, np.int32, len(coded) + 1), words.offsets.to_numpy(), memoryview(data)
+        rests = (data[start:end] for start, end in zip(ends[at[:-1] + 1].tolist(), ends[at[1:]].tolist()))
+        return [self.ids_of(t) if a else self.ids_of(t.partition(" ")[0]) + next(rests) for t, a in zip(texts, apart)]
 
 
 class Pieces(dict):
@@ -161,6 +200,6 @@ def encoder(path: str) -> Encoder:
 
 
 def ids_of_all(path: str, texts: Iterable[str | None]) -> Iterable[bytes]:
-    encode = encoder(path).ids_of
+    each = encoder(path).ids_of_each
     gc.collect()  # what earlier batches and tasks of this worker left in cycles, their texts among them
-    return (encode(t or "") for t in texts)
+    return each(t or "" for t in texts)
