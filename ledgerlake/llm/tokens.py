@@ -36,7 +36,7 @@ WIDE_PAIRS = ("  ", " \n", "\n ")
 MAX_PIECES = 400_000
 MAX_PIECE_CHARS = 64
 #: Characters of the texts whose distinct words are looked up together, at most.
-GROUP_CHARS = 16 << 20
+GROUP_CHARS = 4 << 20
 
 
 def _byte_level() -> list[str]:
